@@ -8,9 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lavra.llm.bpe import encode_corpus
 from lavra.llm.packing import pack_texts
+from lavra.llm.splitting import split_oversized
+from lavra.llm.truncation import assess_endings, truncation_by_source
 from lavra.session import table
 
 
+def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered pieces of every chunk and document above the limit; rows delivered twice are cut once."""
+    chunks = table(spark, sf_dir, "curated_chunks").select("chunk_id", "text").where("length(text) > 4000").distinct()
+    return split_oversized(chunks, "chunk_id", "text", "chunk").unionByName(
+        split_oversized(table(spark, sf_dir, "documents"), "doc_id", "text", "document")
+    )
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_pieces(spark, sf_dir).select("item_kind", "item_key").distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -19,12 +33,33 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text", 2048)
 
 
+def p10_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess_endings(table(spark, sf_dir, "documents"), "doc_id", "text", "source", "title")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_endings(spark, sf_dir).where("cut").select("doc_id")
+
+
+def p10_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation_by_source(p10_endings(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p6_found": p6_found,
+        "p6_pieces": p6_pieces,
         "p8_ids": p8_ids,
         "p9_containers": p9_containers,
+        "p10_found": p10_found,
+        "p10_by_source": p10_by_source,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p6_found": """
+            SELECT 'chunk' AS item_kind, chunk_id AS item_key FROM curated_chunks WHERE length(text) > 4000 GROUP BY chunk_id
+            UNION ALL
+            SELECT 'document', CAST(doc_id AS VARCHAR) FROM documents WHERE length(text) > 4000 GROUP BY doc_id""",
+    }
