@@ -28,14 +28,13 @@ _MARKS = re.compile(r"[“”«»()\[\]{}]|\n\s*\n")
 _CLOSED = re.compile(r"[.!?][\"”»’')\]]*$|[\"”»’')\]][.!?]$")
 _BROKEN = re.compile(r"(?:�|<(?:/?[a-z][^<>\n]{0,60})?|&(?:#\d{0,6}|#x[0-9a-f]{0,5}|[a-z]{1,8})|\\(?:u[0-9a-f]{0,3}|x[0-9a-f]?)?|%[0-9a-f]?(?<=\w%[0-9a-f]))$", re.I)
 _TAG_END = re.compile(r"[^\s.!?>]</?[a-z]+>?$", re.I)
-_DOTS = re.compile(r"(\.\.\.|…)[\"”»)]*$")
-_OMITTED = re.compile(r"[\[(]\s*(?:\.\.\.|…)\s*[\])]$")
+_DOTS = re.compile(r"\.\.\.+[\"”»)]*$")
+_OMITTED = re.compile(r"(?:[\[(]\s*(?:\.\.\.|…)\s*[\])]|…[\"”»)]*)$")
 _PAGE = re.compile(r"^\W*(?:(?:p|pp|pág|pag|página|page|pagina|f|fl)\b\.?\s*)?(?:\d{1,4}|[ivxlc]{1,7})(?:\s*(?:de|of|/|sur)\s*\d{1,4})?\W*$", re.I)
 _PLACE = re.compile(r"^[^\W\d_][^\n.!?]{1,60}, (?:1[5-9]|20)\d\d\.?$")
 _ADDRESS = re.compile(r"(?:https?://|www\.|doi:|hdl:|ark:)\S+$|\S+@\S+\.\w+$", re.I)
 _LIST = re.compile(r"[^\W\d_]{4,}\s?:\s*[^\W\d_][^:.;,]{0,60}(?:[.;,]\s+[^:.;,]{2,60})+[.;,]?$")
 _NUMBERED = re.compile(r"^(?:\d{1,2}(?:\.\d{1,2})*|[IVX]{1,5})[.)]?\s+[^\W\d_]")
-_LAST_WORDS = re.compile(r"([^\W\d_]+(?:-[^\W\d_]+)*)\s+([^\W\d_]+(?:-[^\W\d_]+)*)\W*$")
 _SENTENCE = re.compile(r"[.!?]\s")
 
 
@@ -76,8 +75,12 @@ def ending(text: str | None, title: str | None = None) -> tuple[str, str | None]
     if several and (_PAGE.match(last) or last.count("\t") or not re.search(r"[^\W\d_]{3}", last)):
         return "furniture", None
     if _DOTS.search(end[-6:]):
-        m = _LAST_WORDS.search(end[-120:])
-        return ("dots", f"{m[1]} {m[2]}".lower()) if m and not end[-40:].rstrip(".…").endswith("%)") else ("complete", None)
+        words = end[-200:].rstrip('."”»)').split()[-2:]
+        if end.rstrip('."”»').endswith(")"):
+            return "complete", None
+        if len(words) < 2 or words[0][-1] in ",;:.!?)":  # a clause of one word
+            return "omitted", None
+        return "dots", " ".join(words).lower()
     if _CLOSED.search(end[-6:]):
         return ("open" if open_marks(end) else "complete"), None
     if _ADDRESS.search(last) or _PLACE.match(last):
@@ -117,8 +120,10 @@ def assess_endings(df: DataFrame, key: str, text: str, source: str, title: str |
 
     ends = durable(rows.mapInArrow(run, f"key {kind}, source string, ending string, words string"))
     # sentence ends of the whole corpus, counted before the shuffle; only those that some text's dots ask for are kept
-    pairs = F.expr(r"regexp_extract_all(lower(text), '([\\p{L}-]+\\s+[\\p{L}-]+)[!?.](?=\\s|$)', 1)")
-    sentences = rows.select(F.explode(pairs).alias("words")).select(F.regexp_replace("words", r"\s+", " ").alias("words"))
+    parts = F.split("text", r"(?<![.])[.!?](?:\s+|$)")
+    ended = F.slice(parts, F.lit(1), F.size(parts) - 1)  # what follows the last terminator is no sentence
+    last_two = F.transform(ended, lambda x: F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split(x, r"\s+")), -2, 2), " "))
+    sentences = rows.where("text is not null").select(F.explode(last_two).alias("words")).select(F.lower("words").alias("words"))
     asked = ends.where("words is not null").select("words").distinct()
     known = sentences.join(asked, "words", "left_semi").groupBy("words").agg(F.count(F.lit(1)).alias("times"))
     usual = ends.groupBy("source").agg((F.count_if(F.col("ending") == "bare") / F.count_if(F.col("ending") != "blank")).alias("bare_share"))
