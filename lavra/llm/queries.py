@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lavra.llm.bpe import encode_corpus
 from lavra.llm.packing import pack_texts
+from lavra.llm.similarity import all_pairs, duplicate_classes, near_duplicates
 from lavra.llm.splitting import split_oversized
 from lavra.llm.truncation import assess_endings, truncation_by_source
-from lavra.session import table
+from lavra.session import durable, table
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links, members = near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return all_pairs(links, members).select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links, members = near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return duplicate_classes(durable(links), members).withColumnRenamed("key", "doc_id")
 
 
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +59,8 @@ def p10_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": p1_found,
+        "p1_clusters": p1_clusters,
         "p6_found": p6_found,
         "p6_pieces": p6_pieces,
         "p8_ids": p8_ids,
