@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.llm.bpe import encode_corpus
+from lavra.llm.language import detect_languages, fit_filters
 from lavra.llm.packing import pack_texts
 from lavra.llm.similarity import all_pairs, duplicate_classes, near_duplicates
 from lavra.llm.splitting import split_oversized
@@ -25,6 +26,20 @@ def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(durable(links), members).withColumnRenamed("key", "doc_id")
 
 
+def p2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every document (segment 0) and of every paragraph long enough."""
+    documents = table(spark, sf_dir, "documents")
+    return detect_languages(documents, "doc_id", "text", fit_filters(documents, "doc_id", "lang", "text"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = detect_languages(documents.withColumn("keyed", F.struct("doc_id", "lang")), "keyed", "text", fit_filters(documents, "doc_id", "lang", "text"))
+    wrong_label = (F.col("segment_no") == 0) & ~F.col("keyed.lang").eqNullSafe(F.col("lang_code"))
+    foreign = (F.col("segment_no") > 0) & (F.col("lang_code") != F.col("main_lang"))
+    return found.where(wrong_label | foreign).select("keyed.doc_id", "segment_no", "lang_code")
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered pieces of every chunk and document above the limit; rows delivered twice are cut once."""
     chunks = table(spark, sf_dir, "curated_chunks").select("chunk_id", "text").where("length(text) > 4000").distinct()
@@ -61,6 +76,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p1_clusters": p1_clusters,
+        "p2_found": p2_found,
+        "p2_languages": p2_languages,
         "p6_found": p6_found,
         "p6_pieces": p6_pieces,
         "p8_ids": p8_ids,
