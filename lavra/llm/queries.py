@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.llm.bpe import encode_corpus
+from lavra.llm.entities import link_names, spelling_pairs
 from lavra.llm.language import detect_languages, fit_filters
 from lavra.llm.packing import pack_texts
 from lavra.llm.similarity import all_pairs, duplicate_classes, near_duplicates
@@ -40,6 +41,18 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(wrong_label | foreign).select("keyed.doc_id", "segment_no", "lang_code")
 
 
+def p4_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling of an author or institution with its entity."""
+    records = table(spark, sf_dir, "raw_records").select("metadata.authors", "metadata.institution")
+    authors = records.select(F.lit("author").alias("kind"), F.explode("authors").alias("name"))
+    return link_names(authors.unionAll(records.select(F.lit("institution"), "institution")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = spelling_pairs(p4_entities(spark, sf_dir))
+    return pairs.select(F.col("kind").alias("name_kind"), F.col("a").alias("name_a"), F.col("b").alias("name_b"))
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered pieces of every chunk and document above the limit; rows delivered twice are cut once."""
     chunks = table(spark, sf_dir, "curated_chunks").select("chunk_id", "text").where("length(text) > 4000").distinct()
@@ -78,6 +91,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_clusters": p1_clusters,
         "p2_found": p2_found,
         "p2_languages": p2_languages,
+        "p4_found": p4_found,
+        "p4_entities": p4_entities,
         "p6_found": p6_found,
         "p6_pieces": p6_pieces,
         "p8_ids": p8_ids,
