@@ -3,7 +3,7 @@
 Spellings become token sequences in one order (given names before surnames; kind of institution before place). A profile is a
 set of merged spellings; from the fullest one come the forms under which the entity may be written: initials, a dropped
 middle surname, an acronym. A spelling joins the profile if one profile alone has its form, exactly or but for one typing error in
-a token that is rare. Merging completes profiles (a given name from one spelling, a surname from another), so after
+a token that is rare or much rarer than the token it stands for, however large the table is. Merging completes profiles (a given name from one spelling, a surname from another), so after
 each round the richer profiles give their forms again, until a round merges nothing.
 
 Everything is joined on keys: no pairs are formed inside a block, so a frequent surname costs rows, not pairs of rows.
@@ -194,8 +194,29 @@ def _rows(df: DataFrame, schema: str, make) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-#: A token in at most so many readings may be a typing error.
+#: A token in at most so many readings may be a typing error of any other token.
 RARE = 2
+#: A token in any number of readings may be a typing error of tokens that are at least so many times as frequent.
+SLIP_RATIO = 8
+
+
+def _slips(known: DataFrame, particles: DataFrame) -> DataFrame:
+    """``k, token, others`` of the tokens in ``known`` that may be typing errors, and of which ones; null for any.
+
+    Such are rare tokens; those near tokens or particles that are much more frequent; and two such tokens written as one.
+    """
+    much = F.col("m") >= SLIP_RATIO * F.col("n")
+    shorter = lambda c: F.expr(f"explode(array_distinct(concat(array({c}), transform(sequence(1, length({c})), i -> concat(left({c}, i - 1), substring({c}, i + 1))))))")
+    likely = known.unionAll(particles).where("length(token) > 1").select("k", F.col("token").alias("other"), F.col("n").alias("m"))
+    frequent = known.where(F.col("n") > RARE)
+    # tokens one edit apart are the same, or lose one letter to become the same
+    near = frequent.where("length(token) > 1").withColumn("part", shorter("token")).join(likely.where(F.col("m") > RARE * SLIP_RATIO).withColumn("part", shorter("other")), ["k", "part"])
+    near = near.where(much).where(F.udf(one_edit, "boolean")("token", "other")).select("k", "token", "other")
+    halves = frequent.where("length(token) > 3").withColumn("at", F.expr("explode(sequence(2, length(token) - 2))"))
+    halves = halves.withColumn("other", F.expr("explode(array(left(token, at), substring(token, at + 1)))")).join(likely, ["k", "other"]).where(much)
+    halves = halves.groupBy("k", "token", "at").agg(F.count(F.lit(1)).alias("found")).where("found = 2").select("k", "token", F.lit(None).cast("string").alias("other"))
+    found = near.unionAll(halves).groupBy("k", "token").agg(F.collect_set("other").alias("others"))
+    return found.unionAll(known.where((F.col("n") <= RARE) & (F.length("token") > 1)).select("k", "token", F.lit(None).cast("array<string>")))
 
 
 def link_names(names: DataFrame) -> DataFrame:
@@ -209,9 +230,12 @@ def link_names(names: DataFrame) -> DataFrame:
     canons = read.select("canon").distinct()
     split = lambda canon: (("author" if canon[0] == "a" else "institution"), canon[2:].split(" "))
     tokens = canons.select(F.substring("canon", 1, 1).alias("k"), F.explode(F.array_distinct(F.split(F.expr("substring(canon, 3)"), " "))).alias("token"))
-    known = tokens.groupBy("k", "token").agg(F.count(F.lit(1)).alias("n"))
+    known = durable(tokens.groupBy("k", "token").agg(F.count(F.lit(1)).alias("n")))
     per = canons.select("canon", F.substring("canon", 1, 1).alias("k"), F.explode(F.array_distinct(F.split(F.expr("substring(canon, 3)"), " "))).alias("token"))
-    rare = per.join(known.where(F.col("n") <= RARE), ["k", "token"]).where(F.length("token") > 1).groupBy("canon").agg(F.collect_list("token").alias("rare"))
+    small = _rows(spelled, "k string, token string", lambda k, n: [(k[0], w) for w in {plain(w) for w in _WORDS.findall(n)} if w in _PARTICLES])
+    small = small.groupBy("k", "token").agg(F.count(F.lit(1)).alias("n"))
+    slips = durable(_slips(known, small))
+    rare = per.join(slips, ["k", "token"]).groupBy("canon").agg(F.collect_list("token").alias("rare"))
     base = durable(canons.join(rare, "canon", "left"))
     suspects = base.where("rare is not null")
 
@@ -221,11 +245,12 @@ def link_names(names: DataFrame) -> DataFrame:
             lambda d: _rows(d, "kind string, canon string, key string", lambda k, n, c: [(k, c, f"{k[0]}|{x}") for x in repaired(k, n)])
         ).select("canon", "key").where("canon <> key").distinct()
     )
-    gaps = durable(_rows(suspects.select("canon", "rare"), "canon string, gap string, token string", lambda c, r: [(c, f"{c[:2]}{g}", t) for g, t in _gaps(split(c)[1], set(r))]))
+    gaps = durable(_rows(suspects.select("canon", "rare"), "canon string, gap string, token string", lambda c, r: [(c, f"{c[:2]}{g}", t) for g, t in _gaps(split(c)[1], set(r))])
+                   .withColumn("k", F.substring("canon", 1, 1)).join(slips, ["k", "token"]))
     links = canons.select(F.col("canon").alias("a"), F.col("canon").alias("b"))
     labels = base.select("canon", F.col("canon").alias("entity"))
     fit = F.udf(one_edit, "boolean")
-    extra, settled, before = None, False, -1
+    extra, settled, before = None, False, None
     for _ in range(12):
         sources = base.where("rare is null") if not settled else base
         sources = sources.select("canon")
@@ -246,7 +271,8 @@ def link_names(names: DataFrame) -> DataFrame:
         opened = _rows(single.select("form"), "form string, gap string, other string", lambda f: [(f, f"{f[:2]}{g}", t) for g, t in _gaps(split(f)[1])])
         typed = (
             gaps.join(opened, "gap").where((F.col("token") != F.col("other")) & (F.abs(F.length("token") - F.length("other")) <= 1))
-            .where(fit("token", "other")).join(single, "form").select(F.col("canon").alias("a"), "from", "entity")
+            .where(F.col("others").isNull() | F.array_contains("others", F.col("other"))).where(fit("token", "other"))
+            .join(single, "form").select(F.col("canon").alias("a"), "from", "entity")
         )
         near = shifted.unionAll(typed).join(labels.select(F.col("canon").alias("a"), F.col("entity").alias("own")), "a").where("entity <> own")
         near = near.groupBy("a").agg(F.min("entity").alias("x"), F.max("entity").alias("y"), F.min("from").alias("b")).where("x = y").select("a", "b")
@@ -259,12 +285,10 @@ def link_names(names: DataFrame) -> DataFrame:
         sides = open_.groupBy("bridge").agg(F.countDistinct(F.when(F.col("side") == "g", F.col("canon"))).alias("g"), F.countDistinct(F.when(F.col("side") == "s", F.col("canon"))).alias("s"),
                                             F.min(F.when(F.col("side") == "g", F.col("canon"))).alias("gc"), F.min(F.when(F.col("side") == "s", F.col("canon"))).alias("sc")).where("g = 1 and s = 1")
         joined = durable(sides.select(F.col("gc").alias("a"), F.col("sc").alias("b")))
-        if not joined.isEmpty():
-            links = durable(links.unionAll(joined).distinct())
-            labels = durable(connected_components(links, "a", "b").select(F.col("node").alias("canon"), F.col("component").alias("entity")))
+        links = links.unionAll(joined)  # merged in the next round
         merged = joined.select(F.col("a").alias("canon"), F.concat(F.substring_index("a", " ", 1), F.lit(" "), F.expr("substring(b, instr(b, ' ') + 1)")).alias("full"))
         extra = merged if extra is None else durable(extra.unionAll(merged).distinct())
-        count = labels.select("entity").distinct().count()
+        count = (labels.select("entity").distinct().count(), joined.count())
         if count == before and settled:
             break
         settled, before = settled or count == before, count

@@ -1,0 +1,22 @@
+from lavra.llm.entities import link_names
+
+SURNAMES = [a + b for a in ("baro", "celu", "dimo", "fuxa", "gare", "hobi") for b in ("nalva", "rigo", "tesco", "vurno", "zezzi")]
+
+
+def entities(spark, names):
+    rows = link_names(spark.createDataFrame([("author", n) for n in names], "kind string, name string")).collect()
+    return {r["name"]: r["entity"] for r in rows}
+
+
+def test_a_misspelling_of_several_persons_is_linked(spark):
+    persons = [f"Antonio {a.title()} {b.title()}" for a, b in zip(SURNAMES, SURNAMES[7:] + SURNAMES[:7])]
+    wrong = [p.replace("Antonio", "Antnoio") for p in persons[:3]]  # in three readings, a tenth of the right one's
+    found = entities(spark, persons + wrong)
+    assert all(found[w] == found[p] for w, p in zip(wrong, persons))
+    assert len({found[p] for p in persons}) == len(persons)
+
+
+def test_names_of_like_frequency_stay_apart(spark):
+    pairs = list(zip(SURNAMES[:6], SURNAMES[9:15]))
+    names = [f"{g} {a.title()} {b.title()}" for g in ("Renata", "Renato") for a, b in pairs]
+    assert len(set(entities(spark, names).values())) == len(names)
