@@ -3,7 +3,7 @@
 A stack automaton reads each text for quotes, brackets and markup left open; the end of the text is tested for broken
 characters, entities, tags and escapes, marks of omission, and for a terminator. Ends that need none (headings, titles,
 keyword lists, places with a year, addresses, tables, page ends) are complete. Whether dots close a whole sentence or
-stand for what was cut is decided by the corpus: dots close a sentence if its last two words end sentences elsewhere.
+stand for what was cut is decided by the corpus: dots close a sentence if its last two words mostly end sentences where they stand elsewhere.
 A missing terminator counts only in sources whose texts usually have one.
 """
 
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from lavra.session import durable
 
-#: Times that two words must end a sentence elsewhere before dots after them count as the end of a sentence.
-LEAST_ENDINGS = 2
+#: Share of the places of two words that must be ends of sentences before dots after them count as the end of a sentence.
+ENDING_SHARE = 0.5
 #: Share of a source's texts without terminator above which the lack of one says nothing.
 USUAL_SHARE = 0.6
 
@@ -119,17 +119,18 @@ def assess_endings(df: DataFrame, key: str, text: str, source: str, title: str |
             )
 
     ends = durable(rows.mapInArrow(run, f"key {kind}, source string, ending string, words string"))
-    # sentence ends of the whole corpus, counted before the shuffle; only those that some text's dots ask for are kept
-    parts = F.split("text", r"(?<![.])[.!?](?:\s+|$)")
-    ended = F.slice(parts, F.lit(1), F.size(parts) - 1)  # what follows the last terminator is no sentence
-    last_two = F.transform(ended, lambda x: F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split(x, r"\s+")), -2, 2), " "))
-    sentences = rows.where("text is not null").select(F.explode(last_two).alias("words")).select(F.lower("words").alias("words"))
-    asked = ends.where("words is not null").select("words").distinct()
-    known = sentences.join(asked, "words", "left_semi").groupBy("words").agg(F.count(F.lit(1)).alias("times"))
+    # all places of the pairs of words that some text's dots ask for, in the whole corpus; at most one pair for each text that ends in dots
+    spaced = rows.where("text is not null").select(F.split(F.lower("text"), r"\s+").alias("w"))
+    places = spaced.select(F.explode(F.expr("transform(slice(w, 2, size(w)), (x, i) -> struct(w[i] as first, x as second))")).alias("p")).select("p.*")
+    places = places.where(~F.col("second").rlike(r"\.\.\.")).select(
+        F.concat_ws(" ", "first", F.regexp_replace("second", r"[.,;:!?]+$", "")).alias("words"), F.col("second").rlike(r"(?<![.])[.!?]$").alias("ends")
+    )
+    asked = F.broadcast(ends.where("words is not null").select("words").distinct())
+    known = places.join(asked, "words", "left_semi").groupBy("words").agg((F.count_if("ends") / F.count(F.lit(1))).alias("share"))
     usual = ends.groupBy("source").agg((F.count_if(F.col("ending") == "bare") / F.count_if(F.col("ending") != "blank")).alias("bare_share"))
     cut = (
         F.col("ending").isin("broken", "omitted", "open")
-        | ((F.col("ending") == "dots") & (F.coalesce(F.col("times"), F.lit(0)) < LEAST_ENDINGS))
+        | ((F.col("ending") == "dots") & (F.coalesce(F.col("share"), F.lit(0.0)) < ENDING_SHARE))
         | ((F.col("ending") == "bare") & (F.coalesce(F.col("bare_share"), F.lit(0.0)) <= USUAL_SHARE))
     )
     judged = ends.join(known, "words", "left").join(usual.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")

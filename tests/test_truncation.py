@@ -1,0 +1,12 @@
+from lavra.llm.truncation import assess_endings
+
+
+def test_dots_after_words_that_seldom_end_sentences_are_cuts(spark):
+    inside = [(k, f"O painel usa uma entrevista digital de {w} pessoas.") for k, w in enumerate(["dez", "vinte", "trinta", "quarenta", "cem", "mil"])]
+    ends = [(10 + k, f"O grupo {w} fez a entrevista digital. Os resultados vieram dos dados.") for k, w in enumerate(["um", "dois", "outro"])]
+    asked = [(20, "O painel da escola usa uma entrevista digital..."), (21, "Os resultados da escola vieram dos dados...")]
+    # once more for dots: a sentence end that stands inside a text
+    more = [(30 + k, f"Tudo veio dos dados. O grupo {w} leu.") for k, w in enumerate(["um", "dois"])]
+    df = spark.createDataFrame([(k, "s", t) for k, t in inside + ends + asked + more], "doc_id long, source string, text string")
+    cut = {r["doc_id"] for r in assess_endings(df, "doc_id", "text", "source").where("cut").collect()}
+    assert cut == {20}
