@@ -1 +1 @@
-"""Lavra functions."""
+"""Column functions: texts, dates, names, addresses and hashes."""

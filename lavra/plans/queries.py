@@ -1,15 +1,13 @@
-"""The registered queries of the core operators."""
+"""The registered queries of the core operators and their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lavra.llm.language import detect_languages, fit_filters
 from lavra.operators.packed_fields import FieldGrammar, split_packed_fields
-from lavra.operators.quality import quality_verdicts
+from lavra.plans import curated_queries, staging_queries, text_queries
 from lavra.session import table
 
 PACKED_FIELDS = {
@@ -28,25 +26,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_values(spark, sf_dir).where("values_in_field >= 2").select("csv_row", "field_name", "pos", "item")
 
 
-def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics and verdict of every document; texts too short for a language have none."""
-    documents = table(spark, sf_dir, "documents")
-    found = detect_languages(documents, "doc_id", "text", fit_filters(documents, "doc_id", "lang", "text")).where("segment_no = 0")
-    return quality_verdicts(documents, found.withColumnRenamed("lang_code", "lang"), "doc_id", "text")
-
-
-def quality_verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_metrics(spark, sf_dir).groupBy("lang", "reason").agg(F.count(F.lit(1)).alias("texts"))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "p3_found": p3_found,
-        "p3_values": p3_values,
-        "quality_metrics": quality_metrics,
-        "quality_verdict_counts": quality_verdict_counts,
-    }
+    return {"p3_found": p3_found, "p3_values": p3_values} | text_queries.QUERIES | staging_queries.QUERIES | curated_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return text_queries.ORACLES | staging_queries.ORACLES | curated_queries.ORACLES

@@ -1,7 +1,9 @@
-"""Session helpers: table access, durable intermediates and sizes that come from the session."""
+"""Session helpers: table access and durable intermediates."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for durable intermediates.
+    """The folder for durable intermediates: the one that ``spark.checkpoint.dir`` names.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``. Only where that setting is absent
-    (tests, local runs) a temporary folder of this machine is used, which is then the only machine.
+    Only where that setting is absent and the master is local (tests) is a temporary folder used, and deleted at the end; on a
+    cluster, whose executors would not share it, that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lavra-checkpoint-"))
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="lavra-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
@@ -31,13 +38,3 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: its lineage ends there, and a lost executor loses nothing."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def at_least_parallel(df: DataFrame) -> DataFrame:
-    """Spread rows that arrive in fewer partitions than there are cores; larger inputs keep their scan's partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
