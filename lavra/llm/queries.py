@@ -11,6 +11,8 @@ from lavra.llm.bpe import encode_corpus
 from lavra.llm.entities import link_names, spelling_pairs
 from lavra.llm.language import detect_languages, fit_filters
 from lavra.llm.packing import pack_texts
+from lavra.llm.pii import find_personal_data, redact_personal_data
+from lavra.llm.scans import repair_scans, scan_noise
 from lavra.llm.similarity import all_pairs, duplicate_classes, near_duplicates
 from lavra.llm.splitting import split_oversized
 from lavra.llm.truncation import assess_endings, truncation_by_source
@@ -53,6 +55,23 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("kind").alias("name_kind"), F.col("a").alias("name_a"), F.col("b").alias("name_b"))
 
 
+def p5_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of personal data in the documents and abstracts, with its end."""
+    found = find_personal_data(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("rec_key"), "text"), "rec_key", "text")
+    records = table(spark, sf_dir, "raw_records").select(F.col("bdtd_id").alias("rec_key"), F.col("metadata.abstract").alias("text"))
+    again = find_personal_data(records, "rec_key", "text").distinct()  # records collected again
+    return found.select(F.lit("documents").alias("place"), "*").unionAll(again.select(F.lit("raw_records"), "*"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_items(spark, sf_dir).select("place", "rec_key", "pii_kind", "start_pos")
+
+
+def p5_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with typed placeholders."""
+    return redact_personal_data(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered pieces of every chunk and document above the limit; rows delivered twice are cut once."""
     chunks = table(spark, sf_dir, "curated_chunks").select("chunk_id", "text").where("length(text) > 4000").distinct()
@@ -65,6 +84,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).select("item_kind", "item_key").distinct()
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise(table(spark, sf_dir, "documents"), "doc_id", "text")[0]
+
+
+def p7_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as continuous paragraphs."""
+    return repair_scans(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -93,8 +121,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_languages": p2_languages,
         "p4_found": p4_found,
         "p4_entities": p4_entities,
+        "p5_found": p5_found,
+        "p5_items": p5_items,
+        "p5_texts": p5_texts,
         "p6_found": p6_found,
         "p6_pieces": p6_pieces,
+        "p7_found": p7_found,
+        "p7_texts": p7_texts,
         "p8_ids": p8_ids,
         "p9_containers": p9_containers,
         "p10_found": p10_found,
