@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Spellings (lower case) that stand for no value.
-PLACEHOLDERS = ("não informado pela instituição", "nao informado pela instituicao")
+from lavra.functions.scalars import NOT_INFORMED
+from lavra.functions.text import ascii_folded
+
 _SCHEMES = r"(?:https?://|ftp://|www\.|hdl:|doi:|urn:|ark:)"
 
 
@@ -51,7 +52,10 @@ class PackedFieldParser:
         self.lead = re.compile(rf"\s*(?:(?:\|+|;|,|\n|/\s)\s*)*")
         self.quoted = re.compile(r'"((?:[^"]|"")*)"')
         self.bracketed = re.compile(r"\[[^\[\]]*\]|<[^<>]*>")
-        self.bare = re.compile(rf"(?:{self.address.pattern}|(?!{gap}).)+", re.I | re.S)
+        # blanks are taken as a whole, and only before what is no delimiter, so that a long run of them is looked at once
+        sign = rf"\||;|{comma}"
+        address = rf"|\"?(?:{_SCHEMES}|info:)" if grammar.addresses else ""
+        self.bare = re.compile(rf"(?:{self.address.pattern}|[^\S\n]++(?!\n|{sign}|/\s{address})|(?!{sign})\S)+", re.I)
         self.blank_tail = re.compile(r"\s*$")
 
     def _stop(self, text: str, at: int) -> bool:
@@ -63,6 +67,8 @@ class PackedFieldParser:
             m = self.quoted.match(text, at)
             if m and self._stop(text, m.end()):
                 return m.end(), m[1].replace('""', '"').strip(), None
+            if m and text[m.end() :].lstrip()[:1] == '"':  # what is quoted is one value, though its delimiter is missing
+                return m.end(), m[1].replace('""', '"').strip(), "missing_delimiter"
             flag = "text_after_quote" if m else "open_quote"
         elif text[at] in "[<":
             m = self.bracketed.match(text, at)
@@ -88,10 +94,10 @@ class PackedFieldParser:
         out, at, end = [], self.lead.match(text).end(), len(text)
         while at < end:
             at, value, flag = self._value(text, at)
-            if value and value.lower() not in PLACEHOLDERS:
+            if value and (len(value) > 40 or ascii_folded(value) != NOT_INFORMED):
                 out.append((value, flag))
             m = self.gap.match(text, at)
-            at = m.end() if m else (end if self.blank_tail.match(text, at) else at)
+            at = m.end() if m else (end if self.blank_tail.match(text, at) else at + (flag == "missing_delimiter") * (len(text[at:]) - len(text[at:].lstrip())))
         return out
 
 
@@ -104,7 +110,7 @@ def split_packed_fields(df: DataFrame, key: str, fields: dict[str, FieldGrammar]
     """One row for each value of the packed ``fields``: ``key, field_name, pos, item, flag, values_in_field``.
 
     ``pos`` counts the values of a field from 1. Null, empty and blank fields, empty pieces and placeholders give no row.
-    ``flag`` is null for well-formed values, else ``open_quote``, ``text_after_quote`` or ``open_bracket``. A null key is
+    ``flag`` is null for well-formed values, else ``open_quote``, ``text_after_quote``, ``missing_delimiter`` or ``open_bracket``. A null key is
     kept; repeated input rows give repeated rows; values of any length are read whole; columns of ``df`` that are not named
     are not read, so clashing names do not matter. One narrow pass, no shuffle.
     """
