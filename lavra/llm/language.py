@@ -22,6 +22,8 @@ LANGUAGES = ("pt", "en", "es", "fr")
 #: Labelled rows for each language that the filters are fitted on, the ones with the least hashes of their keys.
 SAMPLE_ROWS = 400
 SLOTS, HASHES = 1 << 20, 3
+#: Words that a worker keeps scores of before it starts anew.
+MEMORY_WORDS = 250_000
 TEXT_WORDS, PARAGRAPH_WORDS = 20, 12
 _WORD = re.compile(r"[^\W\d_]+")
 _BLANK_LINES = re.compile(r"\n\s*\n")
@@ -87,22 +89,28 @@ class _Scorer(dict):
         self.filters, self.width = filters, len(filters.languages)
         self.table = np.zeros((1024, self.width + 1), dtype=np.float32)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            raise MemoryError
-        slices, row = self.filters.slices, len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+    def _counts(self, word: str) -> list[int]:
+        slices = self.filters.slices
         counts, grams = [0] * self.width, _ngrams(word)
         for g in grams:
             a, b, c = _slots(g)
             mask = slices[a] & slices[b] & slices[c]
             for i in range(self.width):
                 counts[i] += mask >> i & 1
-        self.table[row] = [*counts, len(grams)]
+        return [*counts, len(grams)]
+
+    def __missing__(self, word: str) -> int:
+        row = len(self)
+        if row == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[row] = self._counts(word)
         self[word] = row
         return row
 
+    def renewed(self) -> _Scorer:
+        """Itself, or an empty one once it holds many words: what a worker keeps is bounded, and no word is left out."""
+        return self if len(self) <= MEMORY_WORDS else _Scorer(self.filters)
+
     def rows(self, words: list[str]) -> list[int]:
         return list(map(self.__getitem__, words))
 
@@ -131,8 +139,9 @@ def fit_filters(df: DataFrame, key: str, label: str, text: str, *, languages: tu
         part = df.where((F.col(label) == code) & F.col(key).isNotNull()).select(key).orderBy(F.xxhash64(key), key).limit(sample_rows)
         ids = part if ids is None else ids.unionAll(part)
     wanted = F.broadcast(ids.distinct())  # at most sample_rows x languages keys
-    rows = df.join(wanted, key, "left_semi").where(F.col(text).isNotNull() & F.col(label).isin(*languages)).select(label, text).limit(2 * sample_rows * len(languages))
-    return LanguageFilters.fit(sorted((r[0], r[1]) for r in rows.collect()), languages)
+    rows = df.join(wanted, key, "left_semi").where(F.col(text).isNotNull() & F.col(label).isin(*languages))
+    one = rows.groupBy(key).agg(F.min(F.struct(label, text)).alias("r"))  # one for each key, whatever keys repeat
+    return LanguageFilters.fit(sorted((r[0], r[1]) for r in one.select("r.*").collect()), languages)
 
 
 def detect_languages(df: DataFrame, key: str, text: str, filters: LanguageFilters) -> DataFrame:
@@ -149,10 +158,14 @@ def detect_languages(df: DataFrame, key: str, text: str, filters: LanguageFilter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(LanguageFilters(languages, slices))
         for batch in batches:
-            if len(scorer) > 250_000:
-                scorer = _Scorer(LanguageFilters(languages, slices))
-            for at in range(0, batch.num_rows, 500):
-                yield part_rows(batch.slice(at, 500), scorer)
+            at = 0
+            while at < batch.num_rows:  # slices of a bounded number of characters, one text at least
+                scorer, end, size = scorer.renewed(), at, 0
+                while end < batch.num_rows and end - at < 500 and (end == at or size < 4_000_000):
+                    size += len(batch.column(1)[end].as_py() or "")
+                    end += 1
+                yield part_rows(batch.slice(at, end - at), scorer)
+                at = end
 
     def part_rows(part: pa.RecordBatch, scorer: _Scorer) -> pa.RecordBatch:
         rows: list[int] = []

@@ -24,7 +24,7 @@ ENDING_SHARE = 0.5
 USUAL_SHARE = 0.6
 
 _PAIRS = {"“": "”", "«": "»", "(": ")", "[": "]", "{": "}"}
-_MARKS = re.compile(r"[“”«»()\[\]{}]|\n\s*\n")
+_MARKS = re.compile(r"[“”«»()\[\]{}]|\n\s*\n|(?<![^\s(\[{“«–—-])\"(?=\S)|(?<=\S)\"(?![^\s.,;:!?)\]}”»–—-])|(?<!<)<(/?)(i|b|u|em|strong|sup|sub|span|a|div|table|tr|td|ul|ol|h[1-6]|small|cite|blockquote|font|center)(?:\s[^<>\n]{0,80})?(/?)>(?!>)", re.I)
 _CLOSED = re.compile(r"[.!?][\"”»’')\]]*$|[\"”»’')\]][.!?]$")
 _BROKEN = re.compile(r"(?:�|<(?:/?[a-z][^<>\n]{0,60})?|&(?:#\d{0,6}|#x[0-9a-f]{0,5}|[a-z]{1,8})|\\(?:u[0-9a-f]{0,3}|x[0-9a-f]?)?|%[0-9a-f]?(?<=\w%[0-9a-f]))$", re.I)
 _TAG_END = re.compile(r"[^\s.!?>]</?[a-z]+>?$", re.I)
@@ -36,20 +36,41 @@ _ADDRESS = re.compile(r"(?:https?://|www\.|doi:|hdl:|ark:)\S+$|\S+@\S+\.\w+$", r
 _LIST = re.compile(r"[^\W\d_]{4,}\s?:\s*[^\W\d_][^:.;,]{0,60}(?:[.;,]\s+[^:.;,]{2,60})+[.;,]?$")
 _NUMBERED = re.compile(r"^(?:\d{1,2}(?:\.\d{1,2})*|[IVX]{1,5})[.)]?\s+[^\W\d_]")
 _SENTENCE = re.compile(r"[.!?]\s")
+# Words that no sentence, title or heading ends in.
+_INSIDE = re.compile(
+    r"(?:,|\b(?:de|da|do|das|dos|e|em|na|no|nas|nos|um|uma|ao|à|com|para|por|pela|pelo|que|the|of|and|an|in|on|with|by|to|our|each|another|el|los|las|del|y|en|una|con|nuestro|nuestra|le|les|des|du|et|dans|une|avec|notre|chaque))$", re.I
+)
 
 
 def open_marks(text: str) -> int:
-    """The stack automaton: how many quotes and brackets opened in the last paragraph are still open at the end."""
+    """The stack automaton: how many quotes and brackets of the last paragraph, and elements of the whole text, are open at its end.
+
+    Straight quotes open after a blank and close before one; a closing mark ends what was opened inside it and never closed.
+    Only elements of running text count, so that placeholders and control strings are none; a paragraph's end closes quotes and
+    brackets, not elements.
+    """
     stack: list[str] = []
     for m in _MARKS.finditer(text):
         mark = m[0]
-        if mark in _PAIRS:
+        if m[2]:
+            name = m[2].lower()
+            if m[3]:
+                continue
+            mark = f"</{name}>"
+            if not m[1]:
+                stack.append(mark)
+                continue
+        elif mark in _PAIRS:
             stack.append(_PAIRS[mark])
-        elif stack and mark == stack[-1]:
-            stack.pop()
+            continue
+        elif mark == '"' and '"' not in stack:
+            if m.end() < len(text) and not text[m.end()].isspace() and (m.start() == 0 or not text[m.start() - 1].isalnum()):
+                stack.append('"')
+            continue
         elif mark[0] == "\n":
-            stack.clear()
-        elif mark in stack:  # a closing mark ends what was opened inside and never closed
+            stack = [x for x in stack if x[0] == "<"]
+            continue
+        if mark in stack:
             while stack.pop() != mark:
                 pass
     return len(stack)
@@ -58,8 +79,8 @@ def open_marks(text: str) -> int:
 def ending(text: str | None, title: str | None = None) -> tuple[str, str | None]:
     """How a text ends, and for ends in dots its last two words.
 
-    ``blank``, ``complete`` and ``furniture`` are whole; ``broken``, ``omitted`` and ``open`` are cut; ``dots`` and ``bare``
-    (no terminator) are for the corpus to decide.
+    ``blank``, ``complete`` and ``furniture`` are whole; ``broken``, ``omitted``, ``open`` and ``inside`` (after a word that ends nothing) are
+    cut; ``dots`` and ``bare`` (no terminator) are for the corpus to decide.
     """
     if text is None or not text.strip():
         return "blank", None
@@ -97,7 +118,7 @@ def ending(text: str | None, title: str | None = None) -> tuple[str, str | None]
     paragraph = end[max(end.rfind("\n\n"), end.rfind("\r\n\r\n"), len(end) - 400) :].strip()
     if _LIST.search(" ".join(paragraph.split())) and not _CLOSED.search(paragraph):
         return "furniture", None
-    return "bare", None
+    return ("inside" if _INSIDE.search(last) else "bare"), None
 
 
 def assess_endings(df: DataFrame, key: str, text: str, source: str, title: str | None = None) -> DataFrame:
@@ -129,11 +150,14 @@ def assess_endings(df: DataFrame, key: str, text: str, source: str, title: str |
     known = places.join(asked, "words", "left_semi").groupBy("words").agg((F.count_if("ends") / F.count(F.lit(1))).alias("share"))
     usual = ends.groupBy("source").agg((F.count_if(F.col("ending") == "bare") / F.count_if(F.col("ending") != "blank")).alias("bare_share"))
     cut = (
-        F.col("ending").isin("broken", "omitted", "open")
+        F.col("ending").isin("broken", "omitted", "open", "inside")
         | ((F.col("ending") == "dots") & (F.coalesce(F.col("share"), F.lit(0.0)) < ENDING_SHARE))
         | ((F.col("ending") == "bare") & (F.coalesce(F.col("bare_share"), F.lit(0.0)) <= USUAL_SHARE))
     )
-    judged = ends.join(known, "words", "left").join(usual.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
+    # few rows end in dots: the others do not meet in the partition of the null key
+    dotted = ends.where("words is not null").join(known, "words", "left")
+    every = dotted.unionByName(ends.where("words is null").withColumn("share", F.lit(None).cast("double")))
+    judged = every.join(usual.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
     return judged.select(F.col("key").alias(key), "source", "ending", cut.alias("cut"))
 
 
