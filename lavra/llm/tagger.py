@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
-WINDOW, OVERLAP = 256, 48
+WINDOW, OVERLAP = 320, 32
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
 
@@ -93,27 +93,23 @@ class CharTagger:
         behind a shorter window."""
         rows, steps = ids.shape
         padded = np.searchsorted(sizes, np.arange(steps), side="right") if sizes is not None else np.zeros(steps, np.int64)
-        n, out = self.hidden, np.empty((steps, rows, self.tags), dtype=np.float32)
-        out[:] = self.w["bias"]
-        by_step = np.ascontiguousarray(ids.T)
-        h, c, u, x, *gates = (np.empty((rows, n), np.float32) for _ in range(8))
-        o = np.empty((rows, self.tags), np.float32)
+        n, by_step = self.hidden, np.ascontiguousarray(ids.T)
+        c, u, z, x = np.empty((rows, n), np.float32), np.empty((rows, n), np.float32), np.empty((4, rows, n), np.float32), np.empty((4, rows, n), np.float32)
+        i, f, o, g = z
+        gates, low, high = z[:3], np.float32(0), np.float32(1)
+        # one block for each gate; the line of the hard sigmoid is folded into the weights of the first three
+        slope, base = np.float32([0.25, 0.25, 0.25, 1])[:, None, None], np.float32([0.5, 0.5, 0.5, 0])[:, None, None]
+        blocks = lambda w: np.ascontiguousarray(w.reshape(len(w), 4, n).transpose(1, 0, 2)) * slope
+        out = np.empty((steps, rows, self.tags), np.float32)
+        hs, rest = np.empty((steps, rows, n), np.float32), np.zeros((rows, n), np.float32)
         for d, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
-            # one contiguous block for each gate; the line of the hard sigmoid is folded into the weights of the first three
-            line = ((0.25, 0.5), (0.25, 0.5), (0.25, 0.5), (1, 0))
-            wx = [np.ascontiguousarray(self.w["x" + d][:, q * n : (q + 1) * n] * np.float32(a) + np.float32(b)) for q, (a, b) in enumerate(line)]
-            wh = [np.ascontiguousarray(self.w["h" + d][:, q * n : (q + 1) * n] * np.float32(a)) for q, (a, _) in enumerate(line)]
-            wo = self.w["o" + d]
-            h[:], c[:] = 0, 0
+            wx, wh = blocks(self.w["x" + d]) + base, blocks(self.w["h" + d])
+            h, c[:] = rest, 0
             for t in order:
-                for q, z in enumerate(gates):
-                    np.matmul(h, wh[q], out=z)
-                    np.take(wx[q], by_step[t], axis=0, out=x, mode="clip")
-                    z += x
-                    if q < 3:
-                        np.maximum(z, 0, out=z)
-                        np.minimum(z, 1, out=z)
-                i, f, out_gate, g = gates
+                np.matmul(h, wh, out=z)
+                np.take(wx, by_step[t], axis=1, out=x, mode="clip")
+                np.add(z, x, out=z)
+                np.clip(gates, low, high, out=gates)
                 np.abs(g, out=u)
                 u += 1
                 g /= u
@@ -122,12 +118,16 @@ class CharTagger:
                 c += g
                 np.abs(c, out=u)
                 u += 1
+                h = hs[t]
                 np.divide(c, u, out=h)
-                h *= out_gate
+                h *= o
                 if padded[t]:
                     h[: padded[t]], c[: padded[t]] = 0, 0
-                np.matmul(h, wo, out=o)
-                out[t] += o
+            found = (hs.reshape(-1, n) @ self.w["o" + d]).reshape(out.shape)
+            if d == "f":
+                np.add(found, self.w["bias"], out=out)
+            else:
+                out += found
         return out
 
     def text_scores(self, texts: Sequence[str], rows: int = 1024) -> list[np.ndarray]:
