@@ -16,7 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lavra.operators.components import connected_components
@@ -58,6 +58,12 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i:] or a[i + 1 :] == b[i:] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i + 1 :] or (a[i + 2 :] == b[i + 2 :] and a[i : i + 2] == b[i : i + 2][::-1])
 
 
+def near_tokens(a: str, b: str):
+    """``one_edit`` of two columns, without Python."""
+    swapped = F.expr(f"exists(sequence(1, greatest(length({a}) - 1, 1)), i -> concat(left({a}, i - 1), substring({a}, i + 1, 1), substring({a}, i, 1), substring({a}, i + 2)) = {b})")
+    return (F.levenshtein(a, b, 1) >= 0) | ((F.length(a) == F.length(b)) & (F.levenshtein(a, b, 2) == 2) & swapped)
+
+
 def author_tokens(name: str) -> list[str]:
     """Given names, then surnames: what stands behind a comma goes first. A nickname gives ``~`` and the name it stands for."""
     before, comma, after = unicodedata.normalize("NFC", name).partition(",")
@@ -69,16 +75,23 @@ def author_tokens(name: str) -> list[str]:
 
 
 def author_forms(tokens: list[str]) -> list[str]:
-    """The forms of a full name of a given name, maybe a second one, and two surnames; of others only the name itself."""
+    """The forms of a full name of a given name, maybe a second one, and two surnames; of others only the name itself.
+
+    Of a nickname with two surnames the initial is that of the name it stands for.
+    """
     forms = [" ".join(tokens)]
     if author_full(tokens):
         g, (s1, s2) = tokens[:-2], tokens[-2:]
-        forms += [" ".join([*(x[0] for x in g), s1, s2]), f"{g[0][0]} {s1} {s2}", f"{g[0]} {s1[0]} {s2}", f"{g[0]} {s2}", f"~{g[0]} {s1} {s2}", f"~{g[0]} {s2}"]
+        first = g[0].lstrip("~")
+        forms += [" ".join([*(x.lstrip("~")[0] for x in g), s1, s2]), f"{first[0]} {s1} {s2}"]
+        if g[0][0] != "~":
+            forms += [f"{first} {s1[0]} {s2}", f"{first} {s2}", f"~{first} {s1} {s2}", f"~{first} {s2}"]
+            forms += [f"{first} {s1} {s2}"] * (len(g) > 1)
     return list(dict.fromkeys(forms))
 
 
 def author_full(tokens: list[str]) -> bool:
-    return 3 <= len(tokens) <= 4 and all(len(t) > 1 and t[0] != "~" for t in tokens)
+    return 3 <= len(tokens) <= 4 and all(len(t.lstrip("~")) > 1 for t in tokens) and not any(t[0] == "~" for t in tokens[1:])
 
 
 def author_bridge(tokens: list[str]) -> str | None:
@@ -211,7 +224,7 @@ def _slips(known: DataFrame, particles: DataFrame) -> DataFrame:
     frequent = known.where(F.col("n") > RARE)
     # tokens one edit apart are the same, or lose one letter to become the same
     near = frequent.where("length(token) > 1").withColumn("part", shorter("token")).join(likely.where(F.col("m") > RARE * SLIP_RATIO).withColumn("part", shorter("other")), ["k", "part"])
-    near = near.where(much).where(F.udf(one_edit, "boolean")("token", "other")).select("k", "token", "other")
+    near = near.where(much).where(near_tokens("token", "other")).select("k", "token", "other")
     halves = frequent.where("length(token) > 3").withColumn("at", F.expr("explode(sequence(2, length(token) - 2))"))
     halves = halves.withColumn("other", F.expr("explode(array(left(token, at), substring(token, at + 1)))")).join(likely, ["k", "other"]).where(much)
     halves = halves.groupBy("k", "token", "at").agg(F.count(F.lit(1)).alias("found")).where("found = 2").select("k", "token", F.lit(None).cast("string").alias("other"))
@@ -239,40 +252,49 @@ def link_names(names: DataFrame) -> DataFrame:
     base = durable(canons.join(rare, "canon", "left"))
     suspects = base.where("rare is not null")
 
-    # readings of misplaced blanks, and readings with a rare token left open; both computed once
+    # Readings of misplaced blanks, and readings with a rare token left open; both computed once. So are the forms that a mistyped full
+    # name has: these meet only what no full name owns, for two mistyped persons may share a form.
+    def keys_of(c: str, reading: str) -> list[tuple[str, str, str]]:
+        kind, tokens = split(f"{c[0]}|{reading}")
+        return [(c, f"{c[:2]}{f}", "y" if i else "n") for i, f in enumerate(forms_of(kind, tokens) if is_full(kind, tokens) else [reading])]
+
     fixes = durable(
         read.join(suspects.select("canon"), "canon", "left_semi").select("kind", "name", "canon").transform(
-            lambda d: _rows(d, "kind string, canon string, key string", lambda k, n, c: [(k, c, f"{k[0]}|{x}") for x in repaired(k, n)])
-        ).select("canon", "key").where("canon <> key").distinct()
+            lambda d: _rows(d, "kind string, canon string, key string, derived string", lambda k, n, c: [(k, *x) for r in repaired(k, n) for x in keys_of(c, r)])
+        ).select("canon", "key", "derived").where("canon <> key").distinct()
     )
-    gaps = durable(_rows(suspects.select("canon", "rare"), "canon string, gap string, token string", lambda c, r: [(c, f"{c[:2]}{g}", t) for g, t in _gaps(split(c)[1], set(r))])
+    gaps = durable(_rows(suspects.select("canon", "rare"), "canon string, gap string, token string, derived string",
+                         lambda c, r: [(c, f"{c[:2]}{g}", t, d) for _, f, d in keys_of(c, c[2:]) for g, t in _gaps(split(f)[1], set(r))])
                    .withColumn("k", F.substring("canon", 1, 1)).join(slips, ["k", "token"]))
+    def level(c: str, form: int) -> str:
+        kind, tokens = split(c)
+        return "0" if not is_full(kind, tokens) else ("1" if form else "0") if tokens[0][0] == "~" else "2"
+
     links = canons.select(F.col("canon").alias("a"), F.col("canon").alias("b"))
     labels = base.select("canon", F.col("canon").alias("entity"))
-    fit = F.udf(one_edit, "boolean")
     extra, settled, before = None, False, None
-    for _ in range(12):
+    while True:  # links only grow, so the entities settle
         sources = base.where("rare is null") if not settled else base
         sources = sources.select("canon")
         if extra is not None:
             sources = sources.withColumn("from", F.col("canon")).unionAll(extra.select(F.col("full").alias("canon"), F.col("canon").alias("from")))
         else:
             sources = sources.withColumn("from", F.col("canon"))
-        formed = _rows(sources.select("canon", "from"), "from string, form string, full string", lambda c, f: [(f, c[:2] + x, "y" if is_full(*split(c)) else "n") for x in forms_of(*split(c))])
+        formed = _rows(sources.select("canon", "from"), "from string, form string, full string", lambda c, f: [(f, c[:2] + x, level(c, i)) for i, x in enumerate(forms_of(*split(c)))])
         formed = durable(formed.join(labels.select(F.col("canon").alias("from"), "entity"), "from"))
-        # a form that some full name has belongs to that name; else it may only be met by a typing error
-        owner, source = F.when(F.col("full") == "y", F.col("entity")), F.when(F.col("full") == "y", F.col("from"))
+        # a form that some full name has belongs to that name, or else to a nickname with all surnames; else it may only be met by a typing error
+        of_level = lambda f, c: F.coalesce(*[f(F.when(F.col("full") == v, F.col(c))) for v in "210"])
         forms = formed.groupBy("form").agg(
-            F.coalesce(F.min(owner), F.min("entity")).alias("entity"), F.coalesce(F.max(owner), F.max("entity")).alias("other"), F.coalesce(F.min(source), F.min("from")).alias("from")
+            of_level(F.min, "entity").alias("entity"), of_level(F.max, "entity").alias("other"), of_level(F.min, "from").alias("from"), (F.max("full") > "0").alias("owned")
         )
-        single = durable(forms.where("entity = other").select("form", "from", "entity"))
+        single = durable(forms.where("entity = other").select("form", "from", "entity", "owned"))
         exact = base.select("canon").join(single, F.col("canon") == F.col("form")).select(F.col("canon").alias("a"), F.col("from").alias("b"))
-        shifted = fixes.join(single, fixes.key == single.form).select(F.col("canon").alias("a"), "from", "entity")
+        shifted = fixes.join(single, fixes.key == single.form).where("derived = 'n' or not owned").select(F.col("canon").alias("a"), "from", "entity")
         opened = _rows(single.select("form"), "form string, gap string, other string", lambda f: [(f, f"{f[:2]}{g}", t) for g, t in _gaps(split(f)[1])])
         typed = (
             gaps.join(opened, "gap").where((F.col("token") != F.col("other")) & (F.abs(F.length("token") - F.length("other")) <= 1))
-            .where(F.col("others").isNull() | F.array_contains("others", F.col("other"))).where(fit("token", "other"))
-            .join(single, "form").select(F.col("canon").alias("a"), "from", "entity")
+            .where(F.col("others").isNull() | F.array_contains("others", F.col("other"))).where(near_tokens("token", "other"))
+            .join(single, "form").where("derived = 'n' or not owned").select(F.col("canon").alias("a"), "from", "entity")
         )
         near = shifted.unionAll(typed).join(labels.select(F.col("canon").alias("a"), F.col("entity").alias("own")), "a").where("entity <> own")
         near = near.groupBy("a").agg(F.min("entity").alias("x"), F.max("entity").alias("y"), F.min("from").alias("b")).where("x = y").select("a", "b")
