@@ -56,7 +56,7 @@ def heading(rng: random.Random, texts: list[str]) -> str:
 
 def words_list(text: str, rng: random.Random) -> str:
     """A line of key words."""
-    words = rng.sample(re.findall(r"[^\W\d_]{4,}", text) or ["dados"] * 4, 3)
+    words = rng.choices(re.findall(r"[^\W\d_]{4,}", text) or ["dados"], k=3)
     line = rng.choice(["Palavras-chave", "Keywords", "Palabras clave", "Mots-clés"]) + ": " + rng.choice(["; ", ", ", ". "]).join(words) + rng.choice(["", "."])
     return line.upper() if rng.random() < 0.2 else line
 
@@ -121,7 +121,7 @@ def made_page(text: str, texts: list[str], rng: random.Random) -> tuple[list[str
             put(line)
         if not paged or rng.random() < 0.5:
             put("")
-    if rng.random() < 0.15:
+    if rng.random() < (0.15 if paged else 0.35):
         put(words_list(text, rng))
     elif rng.random() < 0.2 and len(lines[-1]) > 30:
         lines[-1] = lines[-1][: rng.randrange(12, len(lines[-1]))]
@@ -172,10 +172,7 @@ def main(folder: str) -> None:
     every = [S.nfc(t) for t in pq.read_table(f"{folder}/documents.parquet", columns=["text"])["text"].to_pylist() if t]
     rng.shuffle(every)
     every = every[:SAMPLE_TEXTS]
-    counts: Counter = Counter()
-    for t in every:
-        if not S._MOJIBAKE.search(t):
-            counts.update(w for w in S.words_of(re.sub(rf"[^\W\d_]+[{S.BREAK}]\s*\n\s*[^\W\d_]+", " ", t)) if len(w) <= 30 and not w.isdigit())
+    counts = S.count_words(every)
     total = sum(counts.values())
     least = max(3, math.ceil(S.USUAL * total))
     usual = {w: n / total for w, n in counts.items() if n >= least}

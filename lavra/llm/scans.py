@@ -40,7 +40,11 @@ for _true, _seen in CONFUSIONS:
     _SEEN[_seen] = (*_SEEN.get(_seen, ()), _true)
 BREAK = "-¬\xad‐"
 _MOJIBAKE = re.compile("Ã[\x80-¿]|Â[\x80-¿]|â€|ï¿½")
-_TOKEN = re.compile(r"[^\W_]+(?:[†'’‐-]*[^\W_]+)*(?:†+)?|†[^\W_]+(?:[†'’-]*[^\W_]+)*")
+_TOKEN = re.compile(r"[^\W_]++(?:[†'’‐-]++[^\W_]++)*+†*+|†++[^\W_]++(?:[†'’-]++[^\W_]++)*+")
+_HALVES = re.compile(rf"(?<![^\W\d_])[^\W\d_]++[{BREAK}]\s*\n\s*[^\W\d_]+")
+_DIGITS = re.compile(r"\d+")
+#: Lines above this length are no running heads.
+LONG_LINE = 150
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?: [^\W\d_]){3,}(?![^\W_])")
 _NUMBER = re.compile(r"^\W{0,3}(?:(?:p|pp|pág|pag|página|page|pagina|página|f|fl)\b\.?\s*)?(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:de|of|/|sur)\s*\d{1,4})?\W{0,3}$", re.I)
 _TAIL_NUMBER = re.compile(r"\S\s{2,}\d{1,4}$|^\d{1,4}\s{2,}\S")
@@ -56,7 +60,16 @@ def bare(word: str) -> str:
 
 
 def words_of(text: str) -> list[str]:
-    return [w.lower() for w in _TOKEN.findall(text)]
+    return _TOKEN.findall(text.lower())
+
+
+def count_words(texts: list[str]) -> Counter:
+    """The words that stand inside the lines of texts, without those of wrongly decoded texts."""
+    counts: Counter = Counter()
+    for t in texts:
+        if not _MOJIBAKE.search(t):
+            counts.update(words_of(_HALVES.sub(" ", t)))
+    return Counter({w: n for w, n in counts.items() if len(w) <= 30 and not w.isdigit()})
 
 
 # words: how a misreading and a replacement fit
@@ -103,7 +116,11 @@ def word_features(seen: str, true: str, n_seen: int, n_true: int, shared: int) -
 
 
 def _frame(line: str) -> str:
-    return re.sub(r"\d+", "9", bare(line).lower()).strip()
+    return _DIGITS.sub("9", line.lower()) if len(line) <= LONG_LINE else line
+
+
+def _tail_number(line: str) -> bool:
+    return len(line) <= LONG_LINE and (line[-1:].isdigit() or line[:1].isdigit()) and bool(_TAIL_NUMBER.search(line))
 
 
 def line_features(rows: list[str]) -> np.ndarray:
@@ -111,11 +128,12 @@ def line_features(rows: list[str]) -> np.ndarray:
     full = [i for i, r in enumerate(rows) if r]
     lengths = [len(rows[i]) for i in full]
     typical = float(np.median(lengths)) if lengths else 1.0
-    frames = Counter(_frame(rows[i]) for i in full)
-    number = {i: bool(_NUMBER.match(rows[i])) for i in full}
+    framed = {i: _frame(rows[i]) for i in full}
+    frames = Counter(framed.values())
+    number = {i: len(rows[i]) < 30 and bool(_NUMBER.match(rows[i])) for i in full}
     values: dict[int, int] = {}
     for i in full:
-        if number[i] or _TAIL_NUMBER.search(rows[i]):
+        if number[i] or _tail_number(rows[i]):
             digits = re.findall(r"\d+", rows[i])
             if digits:
                 values[i] = int(digits[0] if number[i] or rows[i][0].isdigit() else digits[-1])
@@ -131,14 +149,15 @@ def line_features(rows: list[str]) -> np.ndarray:
         a_furniture = bool(after) and (number[full[k + 1]] or full[k + 1] in values)
         text_before = far if b_furniture else before
         text_after = beyond if a_furniture else after
-        letters = [c for c in r if c.isalpha()]
+        short = len(r) <= LONG_LINE
+        letters = sum(map(str.isalpha, r)) if short else len(r)
         value = values.get(i)
         out[k] = (
-            len(r.split()), len(r) / max(1.0, typical), number[i], r[:1] in "[(-–—", r[:1].isdigit(), r[-1:] in "].)-–—", bool(_TAIL_NUMBER.search(r)),
+            len(r.split()), len(r) / max(1.0, typical), number[i], r[:1] in "[(-–—", r[:1].isdigit(), r[-1:] in "].)-–—", _tail_number(r),
             bool(text_before) and text_before[-1:] not in ".!?:…”\")]", text_after[:1].islower(), text_before[-1:] in BREAK and bool(text_before),
             value is not None and ((value + 1) in seen_values or (value - 1) in seen_values), b_furniture, a_furniture,
-            sum(c.isupper() for c in letters) / max(1, len(letters)), r[:1].isupper(), r[-1:] in ".!?;,", frames[_frame(r)] - 1, bool(_SECTION.match(r)), typical,
-            i > 0 and not rows[i - 1], i + 1 < len(rows) and not rows[i + 1], sum(number[j] for j in full[max(0, k - 3) : k + 4]) - number[i], r[:1].islower(), len(letters) / max(1, len(r)),
+            sum(map(str.isupper, r)) / max(1, letters) if short else 0, r[:1].isupper(), r[-1:] in ".!?;,", frames[framed[i]] - 1, bool(_SECTION.match(r)), typical,
+            i > 0 and not rows[i - 1], i + 1 < len(rows) and not rows[i + 1], sum(number[j] for j in full[max(0, k - 3) : k + 4]) - number[i], r[:1].islower(), letters / max(1, len(r)),
         )
     return out
 
@@ -154,7 +173,7 @@ def _broken(rows: list[str]) -> Iterator[tuple[int, int, str, str, str]]:
     for i, r in enumerate(rows):
         if len(r) > 2 and r[-1] in BREAK and r[-2].isalpha():
             j = i + 1
-            while j < len(rows) and j <= i + 6 and (not rows[j] or _NUMBER.match(rows[j]) or _TAIL_NUMBER.search(rows[j]) or not rows[j][:1].isalpha() or not rows[j][:1].islower()):
+            while j < len(rows) and j <= i + 6 and (not rows[j] or _NUMBER.match(rows[j]) or _tail_number(rows[j]) or not rows[j][:1].isalpha() or not rows[j][:1].islower()):
                 j += 1
             if j < len(rows) and j <= i + 6:
                 left = re.search(r"[^\W\d_]+(?:-[^\W\d_]+)*$", r[:-1])
@@ -220,7 +239,7 @@ class Reader:
             last = r[-1] in BREAK
             ws = words_of(r.rstrip(BREAK))
             for k, w in enumerate(ws):
-                if w in self.usual or len(w) < 3 or len(w) > 30 or w.isdigit() or (i, w) in ends or ((last or (i == end and r[-1].isalnum())) and k == len(ws) - 1):
+                if w in self.usual or w in unusual or len(w) < 3 or len(w) > 30 or w.isdigit() or (i, w) in ends or ((last or (i == end and r[-1].isalnum())) and k == len(ws) - 1):
                     continue  # half a word
                 if sum(c.isalpha() for c in w) * 2 < len(w) or "-" in w and all(self.usual.get(p) for p in w.split("-")):
                     continue
@@ -284,11 +303,7 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                t = nfc(t)
-                if not _MOJIBAKE.search(t):
-                    counts.update(w for w in words_of(re.sub(rf"[^\W\d_]+[{BREAK}]\s*\n\s*[^\W\d_]+", " ", t)) if len(w) <= 30 and not w.isdigit())
+            counts = count_words([nfc(t) for t in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
     counted = df.select(F.col(f"`{text}`").alias("text")).where("text is not null").mapInArrow(run, "word string, n long")
