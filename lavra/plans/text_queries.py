@@ -9,6 +9,7 @@ from lavra.functions import text as T
 from lavra.functions.scalars import metadata_key, nonblank, plain
 from lavra.operators import chunking, dedup, quality, redaction
 from lavra.plans import sql as Q
+from lavra.plans.pipeline import process
 from lavra.session import table
 
 
@@ -134,6 +135,15 @@ _PIECES = r"""SELECT doc_id, len(p) AS pieces, sha256(array_to_string(p, '|')) A
     FROM documents WHERE text IS NOT NULL)"""
 
 
+def processed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records through the whole pipeline with the text of their first document: status, reason and cluster."""
+    raw = table(spark, sf_dir, "raw_records")
+    newest = raw.groupBy("bdtd_id").agg(F.max_by(F.struct("status", "metadata", "raw_record"), "checked_at").alias("r")).select("bdtd_id", "r.*")
+    texts = _documents(spark, sf_dir).where("bdtd_id is not null").groupBy("bdtd_id").agg(F.min_by("text", "doc_id").alias("text"))
+    processed, _ = process(newest, texts)
+    return processed.select("bdtd_id", "status", "reason_code", "cluster_id", "chunk_count")
+
+
 def chunks_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of about 1,024 tokens with a tail of at least 128 repeated."""
     return chunking.chunk_documents(_documents(spark, sf_dir), "doc_id", "text", "title").select("chunk_id", "doc_id", "section", "page", "position", "tokens", F.sha2("text", 256).alias("digest"))
@@ -170,6 +180,7 @@ QUERIES = {
     "sections": sections,
     "sentence_pieces": sentence_pieces,
     "chunks_packed": chunks_packed,
+    "processed_statuses": processed_statuses,
 }
 _COUNTS = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, {n} AS n FROM documents WHERE text IS NOT NULL" for k, n in Q.counts("text"))
 _RESIDUAL = " UNION ALL ".join(
