@@ -137,6 +137,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        # all runs of five words of all texts meet: exact, and feasible where few texts share a run
+        "p1_found": r"""
+            WITH w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+                 s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS run FROM w WHERE len(w) >= 40),
+                 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+                 c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM s a JOIN s b ON a.run = b.run AND a.doc_id < b.doc_id GROUP BY ALL)
+            SELECT x AS doc_id_a, y AS doc_id_b FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE met / (p.n + q.n - met) >= 0.6""",
         "p6_found": """
             SELECT 'chunk' AS item_kind, chunk_id AS item_key FROM curated_chunks WHERE length(text) > 4000 GROUP BY chunk_id
             UNION ALL

@@ -42,8 +42,18 @@ def noisy(line: str, rng: random.Random, share: float) -> str:
     return " ".join(confuse(w, rng) if len(w) > 3 and rng.random() < share else w for w in line.split(" "))
 
 
+def roman(n: int) -> str:
+    out = ""
+    for value, sign in ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+        out += sign * (n // value)
+        n %= value
+    return out
+
+
 def number_style(rng: random.Random):
     top = rng.randrange(60, 260)
+    if rng.random() < 0.12:
+        return lambda n: roman(n % 60 + 1)
     return rng.choice([lambda n: f"{n}", lambda n: f"- {n} -", lambda n: f"[{n}]", lambda n: f"p. {n}", lambda n: f"Página {n} de {top}", lambda n: f"{n}.", lambda n: f"– {n} –", lambda n: f"Page {n}", lambda n: f"pág. {n}"])
 
 
@@ -51,7 +61,8 @@ def heading(rng: random.Random, texts: list[str]) -> str:
     words = re.findall(r"[^\W\d_]+", rng.choice(texts))[:60]
     at = rng.randrange(max(1, len(words) - 8))
     phrase = " ".join(words[at : at + rng.randrange(3, 8)])
-    return rng.choice([phrase.upper(), phrase.upper(), phrase.capitalize(), phrase.capitalize() + ":", rng.choice(HEADS)])
+    told = rng.choice([phrase.upper(), phrase.upper(), phrase.capitalize(), phrase.capitalize() + ":", rng.choice(HEADS)])
+    return f"{rng.choice([*HEADS, 'Capítulo 2', 'Anexo B'])} | {told}" if rng.random() < 0.25 else told
 
 
 def words_list(text: str, rng: random.Random) -> str:

@@ -202,9 +202,15 @@ class Reader:
         features = [line_features(rows) if sum(map(bool, rows)) >= 4 else np.zeros((0, 24), np.float32) for rows in split]
         ends = np.cumsum([0, *map(len, features)])
         x = np.concatenate(features) if features else np.zeros((0, 24), np.float32)
-        heads, numbers = (self.models[k].score(x) > 0.5 for k in ("header", "page_number"))
-        # a running head stands again in the text, beside or with a page number, or between two halves of a sentence
-        heads &= (x[:, 16] > 0) | (x[:, 11] > 0) | (x[:, 12] > 0) | (x[:, 6] > 0) | ((x[:, 7] > 0) & (x[:, 8] > 0))
+        short = np.array([len(r) <= LONG_LINE for rows, f in zip(split, features) if len(f) for r in rows if r], bool)
+        heads, numbers = np.zeros(len(x)), np.zeros(len(x))
+        heads[short], numbers[short] = (self.models[k].score(x[short]) for k in ("header", "page_number"))
+        # a running head stands again in the text or between two halves of a sentence, or beside or with a page number; numbered
+        # headings of sections are none
+        strong = (x[:, 16] > 0) | ((x[:, 7] > 0) & (x[:, 8] > 0))
+        beside = (x[:, 11] > 0) | (x[:, 12] > 0) | (x[:, 6] > 0)
+        heads = (((heads > 0.3) & strong) | ((heads > 0.5) & beside)) & ((x[:, 17] == 0) | (x[:, 6] > 0))
+        numbers = numbers > 0.5
         breaks = [list(_broken(rows)) for rows in split]
         flat = [join_features(a, b, m, self.rate) for found in breaks for _, _, a, b, m in found]
         joined = iter(self.models["hyphen"].score(np.array(flat, np.float64).reshape(len(flat), 9)) > 0.5)
@@ -228,20 +234,20 @@ class Reader:
         ends = {(i, a) for i, _, a, _, _ in breaks} | {(j, b) for _, j, _, b, _ in breaks}
         unusual: set[str] = set()
         mojibake = bool(_MOJIBAKE.search(text))
+        usual, spaced = self.usual, bool(_SPACED.search(text))
         for i, r in enumerate(rows):
             if not r or i in skip:
                 continue
-            for m in _SPACED.finditer(r):
-                if self._unspaced(m[0]):
-                    found["spaced"].append((i, m[0]))
+            if spaced:
+                found["spaced"] += [(i, m[0]) for m in _SPACED.finditer(r) if self._unspaced(m[0])]
             if mojibake:
                 continue
             last = r[-1] in BREAK
             ws = words_of(r.rstrip(BREAK))
-            for k, w in enumerate(ws):
-                if w in self.usual or w in unusual or len(w) < 3 or len(w) > 30 or w.isdigit() or (i, w) in ends or ((last or (i == end and r[-1].isalnum())) and k == len(ws) - 1):
+            for k, w in [(k, w) for k, w in enumerate(ws) if w not in usual]:
+                if w in unusual or len(w) < 3 or len(w) > 30 or w.isdigit() or (i, w) in ends or ((last or (i == end and r[-1].isalnum())) and k == len(ws) - 1):
                     continue  # half a word
-                if sum(c.isalpha() for c in w) * 2 < len(w) or "-" in w and all(self.usual.get(p) for p in w.split("-")):
+                if sum(map(str.isalpha, w)) * 2 < len(w) or "-" in w and all(usual.get(p) for p in w.split("-")):
                     continue
                 unusual.add(w)
         return sorted(unusual)

@@ -152,8 +152,9 @@ def near_duplicates(
     a hot group of copies takes part in banding once. Null keys, null texts and texts below ``least_words`` are in neither. A key
     that is repeated with several texts is not expected: keys are unique.
 
-    Banding joins representatives on (band, hash); what agrees by chance is removed by comparing the whole sets. The sets are
-    made again for candidates only, so that the corpus is shuffled neither as sets nor as pairs.
+    Banding joins representatives on (band, hash), and the join of a hot band is split by the engine where its partition is skewed; what
+    agrees by chance is removed by comparing the whole sets. The sets are made again for candidates only: their keys are
+    broadcast as far as their size allows, beyond that the texts meet them in a shuffle.
     """
     sketched = durable(_sketched(df, key, text, least_words, bands, rows))
     copies = sketched.groupBy("digest").agg(F.min("key").alias("representative"))
