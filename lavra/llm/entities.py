@@ -270,10 +270,9 @@ def link_names(names: DataFrame) -> DataFrame:
         kind, tokens = split(c)
         return "0" if not is_full(kind, tokens) else ("1" if form else "0") if tokens[0][0] == "~" else "2"
 
-    links = canons.select(F.col("canon").alias("a"), F.col("canon").alias("b"))
     labels = base.select("canon", F.col("canon").alias("entity"))
-    extra, settled, before = None, False, None
-    while True:  # links only grow, so the entities settle
+    extra, pending, settled = None, None, False
+    while True:  # every round merges entities, or is the last but one
         sources = base.where("rare is null") if not settled else base
         sources = sources.select("canon")
         if extra is not None:
@@ -298,22 +297,31 @@ def link_names(names: DataFrame) -> DataFrame:
         )
         near = shifted.unionAll(typed).join(labels.select(F.col("canon").alias("a"), F.col("entity").alias("own")), "a").where("entity <> own")
         near = near.groupBy("a").agg(F.min("entity").alias("x"), F.max("entity").alias("y"), F.min("from").alias("b")).where("x = y").select("a", "b")
-        links = durable(links.unionAll(exact.where("a <> b")).unionAll(near).distinct())
-        labels = durable(connected_components(links, "a", "b").select(F.col("node").alias("canon"), F.col("component").alias("entity")))
+        # only links between different entities go on, and entities are contracted, not spellings: the first round has most of the work
+        found = exact.where("a <> b").unionAll(near) if pending is None else exact.where("a <> b").unionAll(near).unionAll(pending)
+        x, y = (labels.select(F.col("canon").alias(c), F.col("entity").alias(f"e{c}")) for c in "ab")
+        edges = durable(found.join(x, "a").join(y, "b").where("ea <> eb").select("ea", "eb").distinct())
+        merged = not edges.isEmpty()
+        if merged:
+            parts = connected_components(edges, "ea", "eb").select(F.col("node").alias("entity"), "component")
+            labels = durable(labels.join(parts, "entity", "left").select("canon", F.coalesce("component", "entity").alias("entity")))
         # rematch: incomplete profiles that complete one another give new full names
         bridges = _rows(labels.where("canon like 'a|%'").select("canon"), "canon string, bridge string, side string", lambda c: [(c, x, "g" if len(c[2:].split(" ")[0]) > 1 else "s")] if (x := author_bridge(c[2:].split(" "))) else [])
         complete = labels.join(_rows(base.select("canon"), "canon string", lambda c: [(c,)] if is_full(*split(c)) else []), "canon", "left_semi").select("entity").distinct()
         open_ = bridges.join(labels, "canon").join(complete, "entity", "left_anti")
         sides = open_.groupBy("bridge").agg(F.countDistinct(F.when(F.col("side") == "g", F.col("canon"))).alias("g"), F.countDistinct(F.when(F.col("side") == "s", F.col("canon"))).alias("s"),
                                             F.min(F.when(F.col("side") == "g", F.col("canon"))).alias("gc"), F.min(F.when(F.col("side") == "s", F.col("canon"))).alias("sc")).where("g = 1 and s = 1")
-        joined = durable(sides.select(F.col("gc").alias("a"), F.col("sc").alias("b")))
-        links = links.unionAll(joined)  # merged in the next round
-        merged = joined.select(F.col("a").alias("canon"), F.concat(F.substring_index("a", " ", 1), F.lit(" "), F.expr("substring(b, instr(b, ' ') + 1)")).alias("full"))
-        extra = merged if extra is None else durable(extra.unionAll(merged).distinct())
-        count = (labels.select("entity").distinct().count(), joined.count())
-        if count == before and settled:
-            break
-        settled, before = settled or count == before, count
+        at, to = (labels.select(F.col("canon").alias(c), F.col("entity").alias(f"e{c}")) for c in ("gc", "sc"))
+        pending = durable(sides.join(at, "gc").join(to, "sc").where("egc <> esc").select(F.col("gc").alias("a"), F.col("sc").alias("b")))
+        bridged = not pending.isEmpty()
+        if bridged:  # merged in the next round
+            full = F.concat(F.substring_index("a", " ", 1), F.lit(" "), F.expr("substring(b, instr(b, ' ') + 1)"))
+            fuller = pending.select(F.col("a").alias("canon"), full.alias("full"))
+            extra = fuller if extra is None else durable(extra.unionAll(fuller).distinct())
+        if not merged and not bridged:
+            if settled:
+                break
+            settled = True  # mistyped names give their forms now, too
     return read.join(labels, "canon").select("kind", "name", "entity")
 
 

@@ -148,7 +148,7 @@ def assess_endings(df: DataFrame, key: str, text: str, source: str, title: str |
     )
     asked = F.broadcast(ends.where("words is not null").select("words").distinct())
     known = places.join(asked, "words", "left_semi").groupBy("words").agg((F.count_if("ends") / F.count(F.lit(1))).alias("share"))
-    usual = ends.groupBy("source").agg((F.count_if(F.col("ending") == "bare") / F.count_if(F.col("ending") != "blank")).alias("bare_share"))
+    usual = ends.groupBy("source").agg(F.try_divide(F.count_if(F.col("ending") == "bare"), F.count_if(F.col("ending") != "blank")).alias("bare_share"))
     cut = (
         F.col("ending").isin("broken", "omitted", "open", "inside")
         | ((F.col("ending") == "dots") & (F.coalesce(F.col("share"), F.lit(0.0)) < ENDING_SHARE))
