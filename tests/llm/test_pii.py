@@ -29,7 +29,7 @@ def test_training_learns_a_small_language_and_weights_survive():
     gold = np.zeros((120, 32), np.int8)
     gold[:, 20], gold[:, 21] = 1, 2
     t = CharTagger.fresh(6, 3, seed=1)
-    t.fit(np.stack([encode(x) for x in texts]), gold, epochs=12, batch=30, rate=0.03)
+    t.fit(np.stack([encode(x) for x in texts]), gold, epochs=40, batch=30, rate=0.03)
     again = CharTagger.from_bytes(t.to_bytes())
     tags = again.decode(again.text_scores(texts[:40]))
     assert np.mean([(x == g).all() for x, g in zip(tags, gold)]) > 0.9

@@ -18,9 +18,9 @@ def scanned(seed):
     words, lines, line, page = clean(seed), [], "", 40
     for k, w in enumerate(words):
         if k in (30, 60):
-            w = w.replace("a", "ä").replace("e", "c") if len(w) > 4 else "outr0"
+            w = w.replace("a", "ä").replace("e", "c") if len(w) > 4 else "0utra"
         if len(line) + len(w) > 48:
-            if k % 3 == 0 and w.isalpha() and len(w) > 6:
+            if w.isalpha() and len(w) > 6:
                 lines.append(f"{line} {w[:4]}-")
                 line = w[4:]
             else:
@@ -35,7 +35,7 @@ def scanned(seed):
 
 
 def test_alignment_knows_confusions():
-    assert alignment("0utra", "outra") == (1, 0) and alignment("forrna", "forma") == (1, 0) and alignment("cllgital", "digital")[1] >= 1
+    assert alignment("0utra", "outra") == (1, 0) and alignment("forrna", "forma") == (1, 0) and alignment("cllgital", "digital") == (2, 0) and alignment("xigital", "digital") == (0, 1)
     assert alignment("casa", "casa") == (0, 0)
 
 
@@ -52,7 +52,7 @@ def test_noise_is_found_and_repaired(spark):
     assert {k for d, k in got if d == 100} == {"hyphen", "header", "page_number", "misread"} and {d for d, _ in got} == {100}
     texts = {r["doc_id"]: r["text"] for r in repair_scans(df, "doc_id", "text").collect()}
     assert texts[0] == rows[0][1] and texts[101] is None and texts[102] == "" and len(texts) == len(rows)
-    assert "- 4" not in texts[100] and "ACERVO" not in texts[100] and "-\n" not in texts[100] and "outr0" not in texts[100]
+    assert "- 4" not in texts[100] and "ACERVO" not in texts[100] and "-\n" not in texts[100] and "0utra" not in texts[100]
     assert scan_noise(df.limit(0), "doc_id", "text")[0].count() == 0
 
 
