@@ -280,7 +280,7 @@ def link_names(names: DataFrame) -> DataFrame:
         else:
             sources = sources.withColumn("from", F.col("canon"))
         formed = _rows(sources.select("canon", "from"), "from string, form string, full string", lambda c, f: [(f, c[:2] + x, level(c, i)) for i, x in enumerate(forms_of(*split(c)))])
-        formed = durable(formed.join(labels.select(F.col("canon").alias("from"), "entity"), "from"))
+        formed = formed.join(labels.select(F.col("canon").alias("from"), "entity"), "from")
         # a form that some full name has belongs to that name, or else to a nickname with all surnames; else it may only be met by a typing error
         of_level = lambda f, c: F.coalesce(*[f(F.when(F.col("full") == v, F.col(c))) for v in "210"])
         forms = formed.groupBy("form").agg(

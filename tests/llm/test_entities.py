@@ -1,10 +1,10 @@
-from lavra.llm.entities import link_names
+from lavra.llm.entities import link_names, one_edit, spelling_pairs
 
 SURNAMES = [a + b for a in ("baro", "celu", "dimo", "fuxa", "gare", "hobi") for b in ("nalva", "rigo", "tesco", "vurno", "zezzi")]
 
 
-def entities(spark, names):
-    rows = link_names(spark.createDataFrame([("author", n) for n in names], "kind string, name string")).collect()
+def entities(spark, names, kind="author"):
+    rows = link_names(spark.createDataFrame([(kind, n) for n in names], "kind string, name string")).collect()
     return {r["name"]: r["entity"] for r in rows}
 
 
@@ -16,7 +16,27 @@ def test_a_misspelling_of_several_persons_is_linked(spark):
     assert len({found[p] for p in persons}) == len(persons)
 
 
-def test_names_of_like_frequency_stay_apart(spark):
+def test_names_of_like_frequency_stay_apart_and_kinds_of_variants_are_linked(spark):
     pairs = list(zip(SURNAMES[:6], SURNAMES[9:15]))
     names = [f"{g} {a.title()} {b.title()}" for g in ("Renata", "Renato") for a, b in pairs]
-    assert len(set(entities(spark, names).values())) == len(names)
+    variants = ["Xanalva Yorigo, Felipe", "XANALVA YORIGO, Felipe", "F. Xanalva Yorigo", "Felipe X. Yorigo", "Lipe Xanalva Yorigo", "Yorigo, Felipe"]
+    # no full name without an error: the initial belongs to the mistyped one; a nickname owns its initial
+    odd = [["Veundulta Ulvilzezzi, Helena", "H. Velundulta Ulvilzezzi"], ["Teca Frompeche Zuluzafe", "Frompeche Zuluzafe, T."], ["Jorge Bruno Chancheco Pirotame", "Chancheco Pirotaem, Jorge"]]
+    found = entities(spark, [*names, *variants, *[n for pair in odd for n in pair], "", "  ", None, "123"])
+    assert len({found[n] for n in names}) == len(names)
+    assert len({found[v] for v in variants}) == 1
+    assert all(found[a] == found[b] for a, b in odd) and len({found[a] for a, _ in odd}) == 3
+    assert "" not in found and None not in found and "123" in found
+
+
+def test_institutions_and_pairs(spark):
+    names = ["Universidade Federal de Porto Zumbá", "UNIVERSIDADE FEDERAL DE PORTO ZUMBA", "Univ. Fed. de Porto Zumbá", "Federal University of Porto Zumbá", "Universidade Estadual de Porto Zumbá"]
+    found = entities(spark, names, "institution")
+    assert len({found[n] for n in names[:4]}) == 1 and found[names[4]] != found[names[0]]
+    linked = spark.createDataFrame([("author", n, e) for n, e in [("b", "1"), ("a", "1"), ("c", "2")]], "kind string, name string, entity string")
+    assert [tuple(r) for r in spelling_pairs(linked).collect()] == [("author", "a", "b")]
+    assert link_names(linked.select("kind", "name").limit(0)).count() == 0
+
+
+def test_one_edit():
+    assert one_edit("abc", "acb") and one_edit("abc", "ab") and one_edit("abc", "xbc") and not one_edit("abc", "xyc")
