@@ -14,6 +14,8 @@ from collections.abc import Sequence
 import numpy as np
 
 WINDOW, OVERLAP = 320, 32
+BLOCK = 8  # steps whose states are held before they are scored
+STRETCH = 16
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
 
@@ -88,93 +90,131 @@ class CharTagger:
         with np.load(io.BytesIO(data)) as z:
             return cls({k: z[k] for k in cls.NAMES})
 
+    def _blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Look-up table (4, classes, H), the classes of the backward direction behind those of the forward one, and recurrent weights
+        (4, 2, H, H), for the gates o, i, f, g. The line of the hard sigmoid is folded into those of the first three."""
+        n, gates = self.hidden, [2, 0, 1, 3]
+        slope, base = np.float32([0.25, 0.25, 0.25, 1])[:, None, None], np.float32([0.5, 0.5, 0.5, 0])[:, None, None]
+        block = lambda w: w.reshape(len(w), 4, n).transpose(1, 0, 2)[gates] * slope
+        into = np.concatenate([block(self.w["x" + d]) + base for d in "fb"], axis=1)
+        return into, np.stack([block(self.w["h" + d]) for d in "fb"], axis=1)
+
     def scores(self, ids: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
-        """Scores (steps, rows, tags) of windows of classes (rows, steps). With ``sizes``, ascending, the cells rest in the padding
-        behind a shorter window."""
+        """Scores (steps, rows, tags) of windows of classes (rows, steps). With ``sizes``, ascending, the backward cells rest in the
+        padding behind a shorter window, whose own scores mean nothing. Both directions go in step, so that a call serves both."""
         rows, steps = ids.shape
-        padded = np.searchsorted(sizes, np.arange(steps), side="right") if sizes is not None else np.zeros(steps, np.int64)
-        n, by_step = self.hidden, np.ascontiguousarray(ids.T)
-        c, u, z, x = np.empty((rows, n), np.float32), np.empty((rows, n), np.float32), np.empty((4, rows, n), np.float32), np.empty((4, rows, n), np.float32)
-        i, f, o, g = z
-        gates, low, high = z[:3], np.float32(0), np.float32(1)
-        # one block for each gate; the line of the hard sigmoid is folded into the weights of the first three
-        slope, base = np.float32([0.25, 0.25, 0.25, 1])[:, None, None], np.float32([0.5, 0.5, 0.5, 0])[:, None, None]
-        blocks = lambda w: np.ascontiguousarray(w.reshape(len(w), 4, n).transpose(1, 0, 2)) * slope
-        out = np.empty((steps, rows, self.tags), np.float32)
-        hs, rest = np.empty((steps, rows, n), np.float32), np.zeros((rows, n), np.float32)
-        for d, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
-            wx, wh = blocks(self.w["x" + d]) + base, blocks(self.w["h" + d])
-            h, c[:] = rest, 0
-            for t in order:
-                np.matmul(h, wh, out=z)
-                np.take(wx, by_step[t], axis=1, out=x, mode="clip")
-                np.add(z, x, out=z)
-                np.clip(gates, low, high, out=gates)
-                np.abs(g, out=u)
-                u += 1
-                g /= u
-                g *= i
-                c *= f
-                c += g
-                np.abs(c, out=u)
-                u += 1
-                h = hs[t]
-                np.divide(c, u, out=h)
-                h *= o
-                if padded[t]:
-                    h[: padded[t]], c[: padded[t]] = 0, 0
-            found = (hs.reshape(-1, n) @ self.w["o" + d]).reshape(out.shape)
-            if d == "f":
-                np.add(found, self.w["bias"], out=out)
-            else:
-                out += found
+        n, tags = self.hidden, self.tags
+        padded = np.searchsorted(sizes, np.arange(steps), side="right").tolist() if sizes is not None else [0] * steps
+        by_step = np.concatenate([ids.T, ids.T[::-1] + np.int16(CLASSES)], axis=1).astype(np.intp)
+        into, wh = self._blocks()
+        held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((4, 2 * rows, n), np.float32)
+        z, gates, o, i_f, g_c, g, c = held[:4], held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
+        looked_up, u, one, zero = x.reshape(z.shape), np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
+        out, back = np.empty((steps, rows, tags), np.float32), np.empty((steps, rows, tags), np.float32)
+        hs, h = np.empty((2, BLOCK, rows, n), np.float32), np.zeros((2, rows, n), np.float32)
+        for t in range(steps):
+            np.matmul(h, wh, out=z)
+            into.take(by_step[t], axis=1, out=x, mode="clip")
+            np.add(z, looked_up, out=z)
+            np.clip(gates, zero, one, out=gates)
+            np.abs(g, out=u)
+            np.add(u, one, out=u)
+            np.divide(g, u, out=g)
+            np.multiply(g_c, i_f, out=g_c)
+            np.add(c, g, out=c)
+            np.abs(c, out=u)
+            np.add(u, one, out=u)
+            np.divide(c, u, out=u)
+            at = t % BLOCK
+            h = hs[:, at]
+            np.multiply(u, o, out=h)
+            if rest := padded[steps - 1 - t]:
+                h[1, :rest], c[1, :rest] = 0, 0
+            if at == BLOCK - 1 or t == steps - 1:
+                for d, made in enumerate((out, back)):
+                    np.matmul(hs[d, : at + 1].reshape(-1, n), self.w["o" + "fb"[d]], out=made[t - at : t + 1].reshape(-1, tags))
+        out += back[::-1]
+        lines = out.reshape(steps, rows * tags)
+        lines += np.tile(self.w["bias"], rows)
         return out
 
-    def text_scores(self, texts: Sequence[str], rows: int = 1024) -> list[np.ndarray]:
+    def text_scores(self, texts: Sequence[str], rows: int = 384) -> list[np.ndarray]:
         """Scores (characters, tags) of whole texts, blended from overlapping windows."""
         encoded = [encode(t) for t in texts]
-        owner, start = [], []
-        for i, e in enumerate(encoded):
-            at = 0
+        ends = np.cumsum([0, *map(len, encoded)]).tolist()
+        windows: list[tuple[int, int, bool, bool]] = []  # size, place in all texts, first, last of its text
+        for e, base in zip(encoded, ends):
+            at, size = 0, min(WINDOW, len(e))
             while len(e):
-                owner.append(i)
-                start.append(at)
-                if at + WINDOW >= len(e):
+                last = at + WINDOW >= len(e)
+                windows.append((size, base + at, at == 0, last))
+                if last:
                     break
                 at = min(at + WINDOW - OVERLAP, len(e) - WINDOW)  # the last window is whole, too
-        out = [np.zeros((len(e), self.tags), np.float32) for e in encoded]
-        ramp = np.float32(np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)) / (OVERLAP + 1))
-        sizes = [min(WINDOW, len(encoded[i]) - s) for i, s in zip(owner, start)]
-        order = sorted(range(len(owner)), key=sizes.__getitem__)
-        for a in range(0, len(order), rows):
-            part = order[a : a + rows]
-            ids = np.zeros((len(part), sizes[part[-1]]), np.int16)
-            for r, k in enumerate(part):
-                ids[r, : sizes[k]] = encoded[owner[k]][start[k] : start[k] + WINDOW]
-            found = self.scores(ids, np.array([sizes[k] for k in part])).transpose(1, 0, 2)
-            for r, k in enumerate(part):
-                e, s, size = out[owner[k]], start[k], sizes[k]
-                weight = np.minimum(ramp[:size] if size == WINDOW else np.minimum(np.arange(1, size + 1), np.arange(size, 0, -1)) / np.float32(OVERLAP + 1), 1).astype(np.float32)
-                if s == 0:
-                    weight[: size if s + size == len(e) else WINDOW - OVERLAP] = 1
-                elif s + size == len(e):
-                    weight[min(size, OVERLAP) :] = 1
-                e[s : s + size] += found[r, :size] * weight[:, None]
-        return out
-
-    def _possible(self, scores: np.ndarray) -> np.ndarray:
-        """Characters that some item could hold. Tags 2k + 1 and 2k + 2 begin and go on with an item of kind k. An item pays for entry and
-        exit and gains its lead over tag 0 in each of its characters; where no run of characters pays for any kind, the best path
-        stays outside, so these need no search."""
-        trans, keep = self.w["trans"].astype(np.float64), np.zeros(len(scores), bool)
+        windows.sort(key=lambda w: w[0])
+        codes, out = np.concatenate([*encoded, np.zeros(WINDOW, np.int16)]), np.zeros((ends[-1], self.tags), np.float32)
+        rising = np.arange(1, OVERLAP + 1, dtype=np.float32)[:, None] / np.float32(OVERLAP + 1)
+        rows = -(-len(windows) // max(1, -(-len(windows) // rows)))  # in parts of like size
+        for a in range(0, len(windows), max(1, rows)):
+            part = windows[a : a + rows]
+            sizes, starts, first, last = map(np.array, zip(*part))
+            steps = int(sizes[-1])
+            ids = codes[starts[:, None] + np.arange(steps)]
+            found = self.scores(ids, sizes)
+            if not first.all():  # only windows of full size have neighbours
+                found[:OVERLAP] *= np.where(first, np.float32(1), rising)[:, :, None]
+            if not last.all():
+                found[WINDOW - OVERLAP :] *= np.where(last, np.float32(1), rising[::-1])[:, :, None]
+            for r, (size, at, _, _) in enumerate(part):
+                e = out[at : at + size]
+                e += found[:size, r]
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _possible(self, scores: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """For each text the characters that some item could hold. Tags 2k + 1 and 2k + 2 begin and go on with an item of kind k. An item
+        pays for entry and exit and gains its lead over tag 0 in each of its characters; where no run of characters pays for any kind,
+        the best path stays outside, so these need no search.
+
+        Stretches of ``STRETCH`` characters are looked at first: a run gains at most all gains without the losses in the stretches
+        of its ends, and gains and losses between them. A run that pays lies in stretches that could pay."""
+        trans, apart = self.w["trans"].astype(np.float64), -1e4  # what stands between two texts
+        sizes = np.array([-(-len(s) // STRETCH) + 1 for s in scores], np.int64)  # in stretches; the last one is between texts
+        starts = (np.cumsum(sizes) - sizes) * STRETCH
+        flat = np.zeros((self.tags, int(sizes.sum()) * STRETCH), np.float32)
+        inside = np.zeros(flat.shape[1], bool)
+        for s, a in zip(scores, starts.tolist()):
+            flat[:, a : a + len(s)] = s.T
+            inside[a : a + len(s)] = True
+        keep = np.zeros(flat.shape[1], bool)
         for b in range(1, self.tags, 2):
             on = trans[b + 1, b + 1]
-            price = trans[0, b] + trans[b, b + 1] + trans[b + 1, 0] - 2 * on - trans[0, 0]
-            gain = np.maximum(scores[:, b], scores[:, b + 1]) - scores[:, 0] + (on - trans[0, 0])
-            total = np.concatenate([[0.0], np.cumsum(gain)])
+            need = -self.EDGE - (trans[0, b] + trans[b, b + 1] + trans[b + 1, 0] - 2 * on - trans[0, 0])
+            gain = np.maximum(flat[b], flat[b + 1])
+            gain -= flat[0]
+            gain += np.float32(on - trans[0, 0])
+            gain *= inside
+            rows = gain.reshape(-1, STRETCH)
+            whole, most = ((r @ np.ones(STRETCH, np.float32)).astype(np.float64) for r in (rows, np.maximum(rows, 0)))
+            whole, most = whole + 1e-3, most * 1.0001 + 1e-3  # in double precision, and more than single precision loses
+            whole[starts // STRETCH + sizes - 1] = apart
+            ends = np.cumsum(whole)
+            # the most that a run brings along from the stretches before and after
+            left, right = np.zeros(len(whole)), np.zeros(len(whole))
+            left[1:] = np.maximum(np.maximum.accumulate(most - ends)[:-1] + ends[:-1], 0)
+            right[:-1] = np.maximum(np.maximum.accumulate((most + ends - whole)[::-1])[::-1][1:] - ends[:-1], 0)
+            could = np.flatnonzero(np.maximum(most + np.maximum(left, right), whole + left + right) > need)
+            if not len(could):
+                continue
+            # the runs of these stretches, each row of neighbours by itself
+            cut = np.concatenate([[0], np.cumsum(np.diff(could) > 1)])
+            place = np.arange(len(could)) + cut
+            exact = np.full((place[-1] + 2, STRETCH), apart)
+            at = (could[:, None] * STRETCH + np.arange(STRETCH)).ravel()
+            exact[place] = np.where(inside[at], np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + (on - trans[0, 0]), apart).reshape(-1, STRETCH)
+            total = np.concatenate([[0.0], np.cumsum(exact)])
             best = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])  # of the runs that hold the character
-            keep |= best + price > -self.EDGE
-        return np.flatnonzero(keep)
+            keep[at] |= best.reshape(-1, STRETCH)[place].ravel() > need
+        return [np.flatnonzero(keep[a : a + len(s)]) for s, a in zip(scores, starts.tolist())]
 
     EDGE = 3.0  # what an item at the end of a text may save
 
@@ -182,8 +222,7 @@ class CharTagger:
         """The best tags of whole texts; tag 0 is outside."""
         tags = [np.zeros(len(s), np.int8) for s in scores]
         regions: list[tuple[int, int, int]] = []
-        for i, s in enumerate(scores):
-            near = self._possible(s) if len(s) else ()
+        for i, (s, near) in enumerate(zip(scores, self._possible(scores))):
             if len(near):
                 cuts = np.flatnonzero(np.diff(near) > 2 * around)
                 for a, b in zip(near[np.concatenate([[0], cuts + 1])], near[np.concatenate([cuts, [len(near) - 1]])]):
@@ -214,7 +253,7 @@ class CharTagger:
             ways = best[:, None, :] + into
             came = ways.argmax(axis=2)
             back[t] = came
-            best = np.take_along_axis(ways, came[:, :, None], axis=2)[:, :, 0] + scores[t]
+            best = ways.max(axis=2) + scores[t]
         out = np.empty((steps, rows), np.int8)
         out[-1] = best.argmax(axis=1)
         for t in range(steps - 1, 0, -1):

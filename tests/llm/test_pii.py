@@ -1,5 +1,6 @@
 import numpy as np
 
+from lavra.llm import tagger
 from lavra.llm.pii import find_personal_data, redact_personal_data, spans_of
 from lavra.llm.tagger import CLASSES, CharTagger, encode
 
@@ -61,3 +62,34 @@ def test_spans_end_at_words_and_spare_placeholders():
     tags = np.zeros(len(text), np.int8)
     tags[7:13], tags[19:22], tags[22:25] = 10, 10, 10
     assert [text[a:b] for a, b, _ in spans_of(text, tags)] == ["Ana Lima"]
+
+
+def test_one_product_a_step_serves_both_directions(monkeypatch):
+    t, calls, product = CharTagger.fresh(5, 7, seed=2), [], np.matmul
+    ids = np.random.default_rng(4).integers(0, CLASSES, (6, 45)).astype(np.int16)
+    monkeypatch.setattr(tagger.np, "matmul", lambda *a, **k: calls.append(1) or product(*a, **k))
+    found = t.scores(ids)
+    assert len(calls) < 45 * 1.5
+    assert np.abs(found - t._forward(ids)[0]).max() < 1e-4
+    sizes = np.array([1, 8, 9, 30, 45, 45])
+    for r, size in enumerate(sizes):
+        assert np.abs(t.scores(ids, sizes)[:size, r] - t._forward(ids[r : r + 1, :size])[0][:, 0]).max() < 1e-4
+
+
+def test_stretches_that_cannot_pay_are_found_for_all_texts_at_once():
+    t, rng = CharTagger.fresh(3, 5, seed=7), np.random.default_rng(5)
+    t.w["trans"][:] = rng.normal(0, 0.1, (5, 5))
+    t.w["trans"][0, 1:] -= 8
+    trans, scores = t.w["trans"].astype(np.float64), [rng.normal(-1.2, 1.5, (n, 5)).astype(np.float32) for n in (0, 1, 15, 16, 17, 200, 900)]
+    for s in scores[3:]:
+        s[:, 0] += 3
+    for s, near in zip(scores, t._possible(scores)):
+        runs = np.zeros(len(s), bool)
+        for b in (1, 3):
+            gain = np.maximum(s[:, b], s[:, b + 1]) - s[:, 0] + trans[b + 1, b + 1] - trans[0, 0]
+            price = trans[0, b] + trans[b, b + 1] + trans[b + 1, 0] - 2 * trans[b + 1, b + 1] - trans[0, 0]
+            for a in range(len(s)):
+                for e in np.flatnonzero(np.cumsum(gain[a:].astype(np.float64)) + price > -t.EDGE):
+                    runs[a : a + e + 1] = True
+        assert np.flatnonzero(runs).tolist() == near.tolist()
+    assert t._possible([]) == [] and 0 < sum(map(len, t._possible(scores[3:]))) < 900
