@@ -34,6 +34,19 @@ class Boosted:
             out[a : a + 8192] = value[trees, at].sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(out + self.base, -30, 30)))
 
+    def most(self, known: dict[int, float]) -> float:
+        """No row with these values of these features has a higher sum of leaves, whatever its other features; above 0 is 0.5 and more."""
+
+        def highest(tree: list[list[float]], at: int) -> float:
+            feature, value, *into = tree[at]
+            if feature < 0:
+                return value
+            if feature in known:
+                return highest(tree, int(into[known[feature] > value]))
+            return max(highest(tree, int(i)) for i in into)
+
+        return self.base + sum(highest(t, 0) for t in self.trees)
+
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, *, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 32, least: int = 8, ridge: float = 1.0) -> Boosted:
         mean = min(max(float(y.mean()), 1e-3), 1 - 1e-3)

@@ -15,6 +15,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from pathlib import Path
 
 import numpy as np
@@ -42,10 +43,12 @@ BREAK = "-¬\xad‐"
 _MOJIBAKE = re.compile("Ã[\x80-¿]|Â[\x80-¿]|â€|ï¿½")
 _TOKEN = re.compile(r"[^\W_]++(?:[†'’‐-]++[^\W_]++)*+†*+|†++[^\W_]++(?:[†'’-]++[^\W_]++)*+")
 _HALVES = re.compile(rf"(?<![^\W\d_])[^\W\d_]++[{BREAK}]\s*\n\s*[^\W\d_]+")
+_LINE_END = re.compile(rf"[{BREAK}]\s*\n")
 _DIGITS = re.compile(r"\d+")
 #: Lines above this length are no running heads.
 LONG_LINE = 150
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?: [^\W\d_]){3,}(?![^\W_])")
+_APART = re.compile(r" [^\W\d_] [^\W\d_] ")
 _NUMBER = re.compile(r"^\W{0,3}(?:(?:p|pp|pág|pag|página|page|pagina|página|f|fl)\b\.?\s*)?(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:de|of|/|sur)\s*\d{1,4})?\W{0,3}$", re.I)
 _TAIL_NUMBER = re.compile(r"\S\s{2,}\d{1,4}$|^\d{1,4}\s{2,}\S")
 _SECTION = re.compile(r"^\d{1,2}(?:\.\d{1,2})*\.?\s+[^\W\d_]")
@@ -63,12 +66,27 @@ def words_of(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def wrongly_decoded(text: str) -> bool:
+    return not text.isascii() and ("â€" in text or "ï¿½" in text or ("Ã" in text or "Â" in text) and bool(_MOJIBAKE.search(text)))
+
+
+def spaced_out(text: str) -> bool:
+    """Whether letters with blanks between them stand in a text."""
+    return bool(_APART.search(text)) and bool(_SPACED.search(text))
+
+
 def count_words(texts: list[str]) -> Counter:
-    """The words that stand inside the lines of texts, without those of wrongly decoded texts."""
-    counts: Counter = Counter()
+    """The words that stand inside the lines of texts, without those of wrongly decoded texts.
+
+    No word goes over a blank, so what stands between blanks is counted first, and each of it is read once."""
+    pieces: Counter = Counter()
     for t in texts:
-        if not _MOJIBAKE.search(t):
-            counts.update(words_of(_HALVES.sub(" ", t)))
+        if not wrongly_decoded(t):
+            pieces.update((_HALVES.sub(" ", t) if _LINE_END.search(t) else t).lower().split())
+    counts: Counter = Counter()
+    for p, n in pieces.items():
+        for w in (p,) if p.isalnum() else _TOKEN.findall(p):
+            counts[w] += n
     return Counter({w: n for w, n in counts.items() if len(w) <= 30 and not w.isdigit()})
 
 
@@ -123,6 +141,24 @@ def _tail_number(line: str) -> bool:
     return len(line) <= LONG_LINE and (line[-1:].isdigit() or line[:1].isdigit()) and bool(_TAIL_NUMBER.search(line))
 
 
+@lru_cache(maxsize=1)
+def _cases() -> np.ndarray:
+    """For each code point of the basic plane whether it is a letter and whether it is upper case."""
+    return np.array([[c.isalpha(), c.isupper()] for c in map(chr, range(0x10000))], np.int32)
+
+
+def _letters(lines: list[str]) -> list[list[int]]:
+    """(letters, upper-case ones) of each line; lines are not empty."""
+    joined = "".join(lines)
+    if not joined:
+        return []
+    if max(joined) > "\uffff":
+        return [[sum(map(str.isalpha, r)), sum(map(str.isupper, r))] for r in lines]
+    points = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), np.uint16)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    return np.add.reduceat(_cases()[points], np.cumsum(sizes) - sizes).tolist()
+
+
 def line_features(rows: list[str]) -> np.ndarray:
     """One row of features for each line that is not blank; ``rows`` are stripped lines, blank ones as ''."""
     full = [i for i, r in enumerate(rows) if r]
@@ -138,7 +174,9 @@ def line_features(rows: list[str]) -> np.ndarray:
             if digits:
                 values[i] = int(digits[0] if number[i] or rows[i][0].isdigit() else digits[-1])
     seen_values = set(values.values())
-    out = np.zeros((len(full), 24), np.float32)
+    cased = iter(_letters([rows[i] for i in full if len(rows[i]) <= LONG_LINE]))
+    numbers_to = list(accumulate((number[i] for i in full), initial=0))
+    out = []
     for k, i in enumerate(full):
         r = rows[i]
         before = rows[full[k - 1]] if k else ""
@@ -150,16 +188,16 @@ def line_features(rows: list[str]) -> np.ndarray:
         text_before = far if b_furniture else before
         text_after = beyond if a_furniture else after
         short = len(r) <= LONG_LINE
-        letters = sum(map(str.isalpha, r)) if short else len(r)
+        letters, upper = next(cased) if short else (len(r), 0)
         value = values.get(i)
-        out[k] = (
+        out.append((
             len(r.split()), len(r) / max(1.0, typical), number[i], r[:1] in "[(-–—", r[:1].isdigit(), r[-1:] in "].)-–—", _tail_number(r),
             bool(text_before) and text_before[-1:] not in ".!?:…”\")]", text_after[:1].islower(), text_before[-1:] in BREAK and bool(text_before),
             value is not None and ((value + 1) in seen_values or (value - 1) in seen_values), b_furniture, a_furniture,
-            sum(map(str.isupper, r)) / max(1, letters) if short else 0, r[:1].isupper(), r[-1:] in ".!?;,", frames[framed[i]] - 1, bool(_SECTION.match(r)), typical,
-            i > 0 and not rows[i - 1], i + 1 < len(rows) and not rows[i + 1], sum(number[j] for j in full[max(0, k - 3) : k + 4]) - number[i], r[:1].islower(), letters / max(1, len(r)),
-        )
-    return out
+            upper / max(1, letters), r[:1].isupper(), r[-1:] in ".!?;,", frames[framed[i]] - 1, bool(_SECTION.match(r)), typical,
+            i > 0 and not rows[i - 1], i + 1 < len(rows) and not rows[i + 1], numbers_to[min(len(full), k + 4)] - numbers_to[max(0, k - 3)] - number[i], r[:1].islower(), letters / max(1, len(r)),
+        ))
+    return np.array(out, np.float32).reshape(len(out), 24)
 
 
 def join_features(left: str, right: str, mark: str, rate) -> list[float]:
@@ -182,11 +220,35 @@ def _broken(rows: list[str]) -> Iterator[tuple[int, int, str, str, str]]:
                     yield i, j, left[0].lower(), right[0].lower(), r[-1]
 
 
+class _Unusual(dict):
+    """The unusual words of what stands between two blanks, remembered for at most ``MOST`` of it."""
+
+    MOST = 200_000
+
+    def __init__(self, usual: dict[str, float]):
+        super().__init__()
+        self.usual = usual
+
+    def __missing__(self, piece: str) -> tuple[str, ...]:
+        if len(self) >= self.MOST:
+            self.clear()
+        words = () if piece in self.usual else tuple(w for w in words_of(piece) if w not in self.usual and self.looked_at(w))
+        self[piece] = words
+        return words
+
+    def looked_at(self, w: str) -> bool:
+        if len(w) < 3 or len(w) > 30 or w.isdigit():
+            return False
+        return not (sum(map(str.isalpha, w)) * 2 < len(w) or "-" in w and all(self.usual.get(p) for p in w.split("-")))
+
+
 class Reader:
     """What is known of lines and words: the usual words with their shares, and the three classifiers."""
 
     def __init__(self, usual: dict[str, float], models: dict[str, Boosted]):
-        self.usual, self.models = usual, models
+        self.usual, self.models, self.unusual = usual, models, _Unusual(usual)
+        #: Lines that are no number and have none beside them need not be looked at where no other feature could make up for that.
+        self.bare_pages = models["page_number"].most({2: 0, 6: 0}) > 0
 
     def rate(self, word: str) -> float:
         share = self.usual.get(word)
@@ -203,14 +265,18 @@ class Reader:
         ends = np.cumsum([0, *map(len, features)])
         x = np.concatenate(features) if features else np.zeros((0, 24), np.float32)
         short = np.array([len(r) <= LONG_LINE for rows, f in zip(split, features) if len(f) for r in rows if r], bool)
-        heads, numbers = np.zeros(len(x)), np.zeros(len(x))
-        heads[short], numbers[short] = (self.models[k].score(x[short]) for k in ("header", "page_number"))
         # a running head stands again in the text or between two halves of a sentence, or beside or with a page number; numbered
         # headings of sections are none
         strong = (x[:, 16] > 0) | ((x[:, 7] > 0) & (x[:, 8] > 0))
         beside = (x[:, 11] > 0) | (x[:, 12] > 0) | (x[:, 6] > 0)
-        heads = (((heads > 0.3) & strong) | ((heads > 0.5) & beside)) & ((x[:, 17] == 0) | (x[:, 6] > 0))
-        numbers = numbers > 0.5
+        asked = {
+            "header": np.flatnonzero(short & (strong | beside) & ((x[:, 17] == 0) | (x[:, 6] > 0))),
+            "page_number": np.flatnonzero(short & ((x[:, 2] > 0) | (x[:, 6] > 0) | self.bare_pages)),
+        }
+        heads, numbers = np.zeros(len(x)), np.zeros(len(x))
+        for k, scores in (("header", heads), ("page_number", numbers)):
+            scores[asked[k]] = self.models[k].score(x[asked[k]])
+        heads, numbers = ((heads > 0.3) & strong) | ((heads > 0.5) & beside), numbers > 0.5
         breaks = [list(_broken(rows)) for rows in split]
         flat = [join_features(a, b, m, self.rate) for found in breaks for _, _, a, b, m in found]
         joined = iter(self.models["hyphen"].score(np.array(flat, np.float64).reshape(len(flat), 9)) > 0.5)
@@ -233,23 +299,22 @@ class Reader:
         end = max((i for i, r in enumerate(rows) if r), default=-1)
         ends = {(i, a) for i, _, a, _, _ in breaks} | {(j, b) for _, j, _, b, _ in breaks}
         unusual: set[str] = set()
-        mojibake = bool(_MOJIBAKE.search(text))
-        usual, spaced = self.usual, bool(_SPACED.search(text))
+        mojibake = wrongly_decoded(text)
+        if spaced_out(text):
+            found["spaced"] += [(i, m[0]) for i, r in enumerate(rows) if r and i not in skip for m in _SPACED.finditer(r) if self._unspaced(m[0])]
+        if mojibake:
+            return []
+        whole, halves = [], {i for i, _ in ends}
         for i, r in enumerate(rows):
             if not r or i in skip:
                 continue
-            if spaced:
-                found["spaced"] += [(i, m[0]) for m in _SPACED.finditer(r) if self._unspaced(m[0])]
-            if mojibake:
+            last = r[-1] in BREAK or (i == end and r[-1].isalnum())  # the last word may be half a word
+            if not last and i not in halves:
+                whole.append(r)
                 continue
-            last = r[-1] in BREAK
             ws = words_of(r.rstrip(BREAK))
-            for k, w in [(k, w) for k, w in enumerate(ws) if w not in usual]:
-                if w in unusual or len(w) < 3 or len(w) > 30 or w.isdigit() or (i, w) in ends or ((last or (i == end and r[-1].isalnum())) and k == len(ws) - 1):
-                    continue  # half a word
-                if sum(map(str.isalpha, w)) * 2 < len(w) or "-" in w and all(usual.get(p) for p in w.split("-")):
-                    continue
-                unusual.add(w)
+            unusual.update(w for k, w in enumerate(ws) if w not in self.usual and (i, w) not in ends and not (last and k == len(ws) - 1) and self.unusual.looked_at(w))
+        unusual.update(*map(self.unusual.__getitem__, set("\n".join(whole).lower().split())))
         return sorted(unusual)
 
     def _unspaced(self, letters: str) -> str | None:

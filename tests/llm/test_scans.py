@@ -1,6 +1,10 @@
 import random
+from collections import Counter
 
-from lavra.llm.scans import MODELS, Reader, alignment, line_features, models, repair_scans, scan_noise
+import numpy as np
+
+from lavra.llm import scans
+from lavra.llm.scans import MODELS, Reader, alignment, count_words, line_features, models, repair_scans, scan_noise
 
 WORDS = "nossa biblioteca municipal organiza cada acervo digital segundo critérios de qualidade durante a coleta dos dados outra pesquisa compara este método pós-doutoral".split()
 
@@ -61,3 +65,50 @@ def test_compounds_keep_their_hyphen():
     rows = ["uma linha de texto que vem antes desta", "nossa pesquisa pós-", "doutoral e um acervo digi-", "tal de muitos dados que existem", "e mais uma linha de texto aqui"]
     found, _ = reader.read("\n".join(rows))
     assert [(a, b) for _, _, a, b, _ in found["hyphen"]] == [("digi", "tal")]
+
+
+class Counting:
+    """Stands for something and notes how much it is asked for."""
+
+    def __init__(self, real):
+        self.real, self.asked = real, 0
+
+    def __getattr__(self, name):
+        return getattr(self.real, name)
+
+    def findall(self, text):
+        self.asked += len(text)
+        return self.real.findall(text)
+
+    def score(self, x):
+        self.asked += len(x)
+        return self.real.score(x)
+
+
+def odd(seed):
+    rng = random.Random(seed)
+    return "".join(rng.choice("abcÉÃÂ€â¿\x80 \n\n-¬\xad‐†'’ﬁ01.ǅΣ𝐀\x0c\t\x1c") for _ in range(rng.randrange(120)))
+
+
+def test_words_are_counted_as_they_stand_and_each_piece_is_read_once(monkeypatch):
+    token, texts = Counting(scans._TOKEN), [odd(k) for k in range(300)] + ["o pós-doutoral, 0utra casa† de digi-\ntal N\u00c3O"] * 200
+    want = Counter(w for t in texts if not scans._MOJIBAKE.search(t) for w in scans.words_of(scans._HALVES.sub(" ", t)) if len(w) <= 30 and not w.isdigit())
+    monkeypatch.setattr(scans, "_TOKEN", token)
+    assert count_words(texts) == want
+    assert token.asked < len("".join(texts[:300])) + 60
+    assert [scans.wrongly_decoded(t) for t in texts] == [bool(scans._MOJIBAKE.search(t)) for t in texts]
+
+
+def test_lines_that_cannot_be_page_numbers_are_not_classified():
+    page, trained = Counting(models()["page_number"]), models()
+    x = np.random.default_rng(3).normal(0, 30, (2000, 24))
+    x[:, [2, 6]] = 0
+    assert page.score(x).max() <= 1 / (1 + np.exp(-page.most({2: 0, 6: 0}))) < 0.5 and page.most({}) > 0
+    page.asked = 0
+    reader = Reader({"acervo": 1e-3}, trained | {"page_number": page})
+    assert not reader.bare_pages
+    lines = scanned(5).split("\n")
+    plain = [r for r in lines if not any(c.isdigit() for c in r)]
+    assert not reader.read("\n".join(plain))[0]["page_number"] and page.asked == 0
+    numbers = [i for i, r in enumerate(lines) if r.startswith("- ")]
+    assert reader.read("\n".join(lines))[0]["page_number"] == numbers and len(numbers) <= page.asked < len(lines) / 2
