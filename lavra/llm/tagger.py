@@ -59,6 +59,15 @@ def _soft(x: np.ndarray) -> np.ndarray:
     return x / (1 + np.abs(x))
 
 
+def windows_of(size: int) -> list[tuple[int, int]]:
+    """(start, end) of the windows of a text: as few as cover it, of like length, each with the first ``OVERLAP`` characters of the next."""
+    if not size:
+        return []
+    parts = max(1, -(-(size - OVERLAP) // (WINDOW - OVERLAP)))
+    cuts = [round(i * (size - OVERLAP) / parts) for i in range(parts + 1)]
+    return [(a, b + OVERLAP) for a, b in zip(cuts, cuts[1:])]
+
+
 class CharTagger:
     """Weights: ``x`` (classes x 4H), ``h`` (H x 4H) and ``o`` (H x tags) for each direction; ``bias``; ``trans``."""
 
@@ -116,7 +125,7 @@ class CharTagger:
             np.matmul(h, wh, out=z)
             into.take(by_step[t], axis=1, out=x, mode="clip")
             np.add(z, looked_up, out=z)
-            np.clip(gates, zero, one, out=gates)
+            gates.clip(zero, one, out=gates)
             np.abs(g, out=u)
             np.add(u, one, out=u)
             np.divide(g, u, out=g)
@@ -144,13 +153,7 @@ class CharTagger:
         ends = np.cumsum([0, *map(len, encoded)]).tolist()
         windows: list[tuple[int, int, bool, bool]] = []  # size, place in all texts, first, last of its text
         for e, base in zip(encoded, ends):
-            at, size = 0, min(WINDOW, len(e))
-            while len(e):
-                last = at + WINDOW >= len(e)
-                windows.append((size, base + at, at == 0, last))
-                if last:
-                    break
-                at = min(at + WINDOW - OVERLAP, len(e) - WINDOW)  # the last window is whole, too
+            windows += [(b - a, base + a, a == 0, b == len(e)) for a, b in windows_of(len(e))]
         windows.sort(key=lambda w: w[0])
         codes, out = np.concatenate([*encoded, np.zeros(WINDOW, np.int16)]), np.zeros((ends[-1], self.tags), np.float32)
         rising = np.arange(1, OVERLAP + 1, dtype=np.float32)[:, None] / np.float32(OVERLAP + 1)
@@ -161,10 +164,11 @@ class CharTagger:
             steps = int(sizes[-1])
             ids = codes[starts[:, None] + np.arange(steps)]
             found = self.scores(ids, sizes)
-            if not first.all():  # only windows of full size have neighbours
+            if not first.all():
                 found[:OVERLAP] *= np.where(first, np.float32(1), rising)[:, :, None]
             if not last.all():
-                found[WINDOW - OVERLAP :] *= np.where(last, np.float32(1), rising[::-1])[:, :, None]
+                r = np.flatnonzero(~last)
+                found[sizes[r] - OVERLAP + np.arange(OVERLAP)[:, None], r] *= rising[::-1, :, None]
             for r, (size, at, _, _) in enumerate(part):
                 e = out[at : at + size]
                 e += found[:size, r]
@@ -177,14 +181,13 @@ class CharTagger:
 
         Stretches of ``STRETCH`` characters are looked at first: a run gains at most all gains without the losses in the stretches
         of its ends, and gains and losses between them. A run that pays lies in stretches that could pay."""
-        trans, apart = self.w["trans"].astype(np.float64), -1e4  # what stands between two texts
+        trans, apart = self.w["trans"].astype(np.float64), -1e4  # the gain of what stands between two texts
         sizes = np.array([-(-len(s) // STRETCH) + 1 for s in scores], np.int64)  # in stretches; the last one is between texts
         starts = (np.cumsum(sizes) - sizes) * STRETCH
         flat = np.zeros((self.tags, int(sizes.sum()) * STRETCH), np.float32)
-        inside = np.zeros(flat.shape[1], bool)
-        for s, a in zip(scores, starts.tolist()):
+        for s, a, b in zip(scores, starts.tolist(), (starts + sizes * STRETCH).tolist()):
             flat[:, a : a + len(s)] = s.T
-            inside[a : a + len(s)] = True
+            flat[0, a + len(s) : b] = -apart
         keep = np.zeros(flat.shape[1], bool)
         for b in range(1, self.tags, 2):
             on = trans[b + 1, b + 1]
@@ -192,11 +195,9 @@ class CharTagger:
             gain = np.maximum(flat[b], flat[b + 1])
             gain -= flat[0]
             gain += np.float32(on - trans[0, 0])
-            gain *= inside
             rows = gain.reshape(-1, STRETCH)
             whole, most = ((r @ np.ones(STRETCH, np.float32)).astype(np.float64) for r in (rows, np.maximum(rows, 0)))
             whole, most = whole + 1e-3, most * 1.0001 + 1e-3  # in double precision, and more than single precision loses
-            whole[starts // STRETCH + sizes - 1] = apart
             ends = np.cumsum(whole)
             # the most that a run brings along from the stretches before and after
             left, right = np.zeros(len(whole)), np.zeros(len(whole))
@@ -210,7 +211,7 @@ class CharTagger:
             place = np.arange(len(could)) + cut
             exact = np.full((place[-1] + 2, STRETCH), apart)
             at = (could[:, None] * STRETCH + np.arange(STRETCH)).ravel()
-            exact[place] = np.where(inside[at], np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + (on - trans[0, 0]), apart).reshape(-1, STRETCH)
+            exact[place] = (np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + (on - trans[0, 0])).reshape(-1, STRETCH)
             total = np.concatenate([[0.0], np.cumsum(exact)])
             best = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])  # of the runs that hold the character
             keep[at] |= best.reshape(-1, STRETCH)[place].ravel() > need
@@ -247,17 +248,17 @@ class CharTagger:
 
     def _viterbi(self, scores: np.ndarray) -> np.ndarray:
         steps, rows, k = scores.shape
-        back = np.empty((steps, rows, k), np.int8)
-        best, into = scores[0].copy(), np.ascontiguousarray(self.w["trans"].T)
+        best, trans = np.empty((steps, rows, k), np.float32), self.w["trans"]
+        ways, into = np.empty((k, rows, k), np.float32), np.ascontiguousarray(trans.T)
+        best[0] = scores[0]
         for t in range(1, steps):
-            ways = best[:, None, :] + into
-            came = ways.argmax(axis=2)
-            back[t] = came
-            best = ways.max(axis=2) + scores[t]
+            np.add(best[t - 1].T[:, :, None], trans[:, None, :], out=ways)
+            np.max(ways, axis=0, out=best[t])
+            best[t] += scores[t]
         out = np.empty((steps, rows), np.int8)
-        out[-1] = best.argmax(axis=1)
+        out[-1] = best[-1].argmax(axis=1)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = np.take_along_axis(back[t], out[t][:, None].astype(np.int64), axis=1)[:, 0]
+            out[t - 1] = (best[t - 1] + into[out[t]]).argmax(axis=1)
         return out
 
     # training

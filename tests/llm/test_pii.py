@@ -93,3 +93,13 @@ def test_stretches_that_cannot_pay_are_found_for_all_texts_at_once():
                     runs[a : a + e + 1] = True
         assert np.flatnonzero(runs).tolist() == near.tolist()
     assert t._possible([]) == [] and 0 < sum(map(len, t._possible(scores[3:]))) < 900
+
+
+def test_windows_cover_a_text_and_their_weights_make_one(monkeypatch):
+    t = CharTagger.fresh(3, 5, seed=1)
+    monkeypatch.setattr(t, "scores", lambda ids, sizes=None: np.ones((ids.shape[1], len(ids), 5), np.float32))
+    sizes = [0, 1, 31, 32, 33, 320, 321, 400, 607, 608, 609, 2200]
+    for size, s in zip(sizes, t.text_scores(["x" * n for n in sizes])):
+        assert s.shape == (size, 5) and np.abs(s - 1).max(initial=0) < 1e-6
+        windows = tagger.windows_of(size)
+        assert all(b - a <= tagger.WINDOW for a, b in windows) and all(b - c == tagger.OVERLAP for (_, b), (c, _) in zip(windows, windows[1:]))
