@@ -14,7 +14,6 @@ from collections.abc import Sequence
 import numpy as np
 
 WINDOW, OVERLAP = 320, 32
-BLOCK = 8  # steps whose states are held before they are scored
 STRETCH = 16
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
@@ -119,30 +118,27 @@ class CharTagger:
         held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((4, 2 * rows, n), np.float32)
         z, gates, o, i_f, g_c, g, c = held[:4], held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
         looked_up, u, one, zero = x.reshape(z.shape), np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
-        out, back = np.empty((steps, rows, tags), np.float32), np.empty((steps, rows, tags), np.float32)
-        hs, h = np.empty((2, BLOCK, rows, n), np.float32), np.zeros((2, rows, n), np.float32)
+        found, h, wo = np.empty((steps, 2, rows, tags), np.float32), np.zeros((2, rows, n), np.float32), np.stack([self.w["of"], self.w["ob"]])
+        # looked up once, as the calls are short
+        matmul, add, multiply, divide, absolute, look_up, clip = np.matmul, np.add, np.multiply, np.divide, np.absolute, into.take, gates.clip
         for t in range(steps):
-            np.matmul(h, wh, out=z)
-            into.take(by_step[t], axis=1, out=x, mode="clip")
-            np.add(z, looked_up, out=z)
-            gates.clip(zero, one, out=gates)
-            np.abs(g, out=u)
-            np.add(u, one, out=u)
-            np.divide(g, u, out=g)
-            np.multiply(g_c, i_f, out=g_c)
-            np.add(c, g, out=c)
-            np.abs(c, out=u)
-            np.add(u, one, out=u)
-            np.divide(c, u, out=u)
-            at = t % BLOCK
-            h = hs[:, at]
-            np.multiply(u, o, out=h)
+            matmul(h, wh, z)
+            look_up(by_step[t], 1, x, "clip")
+            add(z, looked_up, z)
+            clip(zero, one, gates)
+            absolute(g, u)
+            add(u, one, u)
+            divide(g, u, g)
+            multiply(g_c, i_f, g_c)
+            add(c, g, c)
+            absolute(c, u)
+            add(u, one, u)
+            divide(c, u, u)
+            multiply(u, o, h)
             if rest := padded[steps - 1 - t]:
                 h[1, :rest], c[1, :rest] = 0, 0
-            if at == BLOCK - 1 or t == steps - 1:
-                for d, made in enumerate((out, back)):
-                    np.matmul(hs[d, : at + 1].reshape(-1, n), self.w["o" + "fb"[d]], out=made[t - at : t + 1].reshape(-1, tags))
-        out += back[::-1]
+            matmul(h, wo, found[t])
+        out = np.add(found[:, 0], found[::-1, 1], order="C")
         lines = out.reshape(steps, rows * tags)
         lines += np.tile(self.w["bias"], rows)
         return out
