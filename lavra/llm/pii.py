@@ -88,13 +88,13 @@ def _tagged(batches: Iterator[pa.RecordBatch], weights: bytes, make, names: list
         at = 0
         while at < batch.num_rows:  # slices of a bounded number of characters, one long text at least
             size, end = 0, at
-            while end < batch.num_rows and (end == at or size < 400_000):
+            while end < batch.num_rows and (end == at or size < 800_000):
                 size += len(batch.column(1)[end].as_py() or "")
                 end += 1
             part = batch.slice(at, end - at)
             at = end
             texts = [t or "" for t in part.column(1).to_pylist()]
-            found = [spans_of(t, tags) for t, tags in zip(texts, tagger.decode(tagger.text_scores(texts)))]
+            found = [spans_of(t, tags) for t, tags in zip(texts, tagger.tag(texts))]
             yield pa.RecordBatch.from_arrays(make(part, texts, found), names=names)
 
 

@@ -14,7 +14,9 @@ from collections.abc import Sequence
 import numpy as np
 
 WINDOW, OVERLAP = 320, 32
-STRETCH = 16
+STRETCH, APART = 16, -1e4  # characters looked at together; the gain of what stands between two texts, less than any
+AROUND = 12  # characters searched beside those that an item could hold
+BLOCK = 16  # steps that are worked on while they are in the cache
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
 
@@ -67,6 +69,22 @@ def windows_of(size: int) -> list[tuple[int, int]]:
     return [(a, b + OVERLAP) for a, b in zip(cuts, cuts[1:])]
 
 
+def _best_runs(gain: np.ndarray) -> np.ndarray:
+    """For each character what the run gains that gains most among those that hold it."""
+    total = np.zeros(len(gain) + 1)
+    np.cumsum(gain, out=total[1:])
+    return np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+
+
+def _regions(near: np.ndarray, size: int, around: int) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a text that hold these characters and those around them."""
+    if not len(near):
+        return []
+    cuts = np.flatnonzero(np.diff(near) > 2 * around)
+    firsts, lasts = near[np.concatenate([[0], cuts + 1])], near[np.concatenate([cuts, [len(near) - 1]])]
+    return [(max(0, a - around), min(size, b + around + 1)) for a, b in zip(firsts.tolist(), lasts.tolist())]
+
+
 class CharTagger:
     """Weights: ``x`` (classes x 4H), ``h`` (H x 4H) and ``o`` (H x tags) for each direction; ``bias``; ``trans``."""
 
@@ -115,16 +133,20 @@ class CharTagger:
         padded = np.searchsorted(sizes, np.arange(steps), side="right").tolist() if sizes is not None else [0] * steps
         by_step = np.concatenate([ids.T, ids.T[::-1] + np.int16(CLASSES)], axis=1).astype(np.intp)
         into, wh = self._blocks()
-        held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((4, 2 * rows, n), np.float32)
+        held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((2 * rows, n), np.float32)
         z, gates, o, i_f, g_c, g, c = held[:4], held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
-        looked_up, u, one, zero = x.reshape(z.shape), np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
-        found, h, wo = np.empty((steps, 2, rows, tags), np.float32), np.zeros((2, rows, n), np.float32), np.stack([self.w["of"], self.w["ob"]])
+        inputs = list(zip(into, z.reshape(4, 2 * rows, n)))  # gate by gate, so that what is looked up stays in the cache
+        u, one, zero = np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
+        h, wo = np.zeros((2, rows, n), np.float32), np.stack([self.w["of"], self.w["ob"]])
+        out, found, bias = np.empty((steps, rows, tags), np.float32), np.empty((2, rows, tags), np.float32), np.tile(self.w["bias"], (rows, 1))
         # looked up once, as the calls are short
-        matmul, add, multiply, divide, absolute, look_up, clip = np.matmul, np.add, np.multiply, np.divide, np.absolute, into.take, gates.clip
+        matmul, add, multiply, divide, absolute, clip = np.matmul, np.add, np.multiply, np.divide, np.absolute, gates.clip
         for t in range(steps):
             matmul(h, wh, z)
-            look_up(by_step[t], 1, x, "clip")
-            add(z, looked_up, z)
+            at = by_step[t]
+            for table, gate in inputs:
+                table.take(at, 0, x, "clip")
+                add(gate, x, gate)
             clip(zero, one, gates)
             absolute(g, u)
             add(u, one, u)
@@ -137,38 +159,102 @@ class CharTagger:
             multiply(u, o, h)
             if rest := padded[steps - 1 - t]:
                 h[1, :rest], c[1, :rest] = 0, 0
-            matmul(h, wo, found[t])
-        out = np.add(found[:, 0], found[::-1, 1], order="C")
-        lines = out.reshape(steps, rows * tags)
-        lines += np.tile(self.w["bias"], rows)
+            matmul(h, wo, found)
+            there, back = out[t], out[steps - 1 - t]
+            if 2 * t < steps - 1:  # the first to come takes the bias along
+                add(found[0], bias, there)
+                add(found[1], bias, back)
+            else:
+                add(found[0], there if 2 * t >= steps else bias, there)
+                add(back, found[1], back)
         return out
 
-    def text_scores(self, texts: Sequence[str], rows: int = 384) -> list[np.ndarray]:
-        """Scores (characters, tags) of whole texts, blended from overlapping windows."""
-        encoded = [encode(t) for t in texts]
-        ends = np.cumsum([0, *map(len, encoded)]).tolist()
-        windows: list[tuple[int, int, bool, bool]] = []  # size, place in all texts, first, last of its text
-        for e, base in zip(encoded, ends):
-            windows += [(b - a, base + a, a == 0, b == len(e)) for a, b in windows_of(len(e))]
-        windows.sort(key=lambda w: w[0])
-        codes, out = np.concatenate([*encoded, np.zeros(WINDOW, np.int16)]), np.zeros((ends[-1], self.tags), np.float32)
-        rising = np.arange(1, OVERLAP + 1, dtype=np.float32)[:, None] / np.float32(OVERLAP + 1)
+    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[list[tuple[int, int]], list[tuple[int, int, bool, bool]], list[np.ndarray]]:
+        """The places of the texts, one behind the other; (start, end, first, last) of their windows; the scores (characters, tags) of each
+        window. ``each`` gets the windows and scores of every call."""
+        spans, windows, total = [], [], 0
+        for t in texts:
+            spans.append((total, total + len(t)))
+            windows += [(total + a, total + b, a == 0, b == len(t)) for a, b in windows_of(len(t))]
+            total += len(t)
+        codes = np.concatenate([encode("".join(texts)), np.zeros(WINDOW, np.int16)])
+        order = sorted(range(len(windows)), key=lambda w: windows[w][1] - windows[w][0])
+        found = [codes] * len(windows)
         rows = -(-len(windows) // max(1, -(-len(windows) // rows)))  # in parts of like size
-        for a in range(0, len(windows), max(1, rows)):
-            part = windows[a : a + rows]
-            sizes, starts, first, last = map(np.array, zip(*part))
-            steps = int(sizes[-1])
-            ids = codes[starts[:, None] + np.arange(steps)]
-            found = self.scores(ids, sizes)
-            if not first.all():
-                found[:OVERLAP] *= np.where(first, np.float32(1), rising)[:, :, None]
-            if not last.all():
-                r = np.flatnonzero(~last)
-                found[sizes[r] - OVERLAP + np.arange(OVERLAP)[:, None], r] *= rising[::-1, :, None]
-            for r, (size, at, _, _) in enumerate(part):
-                e = out[at : at + size]
-                e += found[:size, r]
-        return [out[a:b] for a, b in zip(ends, ends[1:])]
+        for at in range(0, len(windows), max(1, rows)):
+            part = order[at : at + rows]
+            starts, ends = np.array([windows[w][:2] for w in part]).T
+            sizes = ends - starts
+            scores = self.scores(codes[starts + np.arange(sizes[-1])[:, None]].T, sizes)
+            for r, (w, size) in enumerate(zip(part, sizes.tolist())):
+                found[w] = scores[:size, r]
+            each([windows[w] for w in part], scores)
+        return spans, windows, found
+
+    def _blended(self, spans: Sequence[tuple[int, int]], windows: Sequence[tuple[int, int, bool, bool]], found: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Scores (characters, tags) of whole texts or parts of them from those of their windows."""
+        rising, out = np.arange(1, OVERLAP + 1, dtype=np.float32) / np.float32(OVERLAP + 1), []
+        begins = np.searchsorted([w[1] for w in windows], [a for a, _ in spans], "right").tolist()
+        ends = np.searchsorted([w[0] for w in windows], [b for _, b in spans]).tolist()
+        for (a, b), i, j in zip(spans, begins, ends):
+            out.append(np.zeros((b - a, self.tags), np.float32))
+            for (start, end, first, last), scores in zip(windows[i:j], found[i:j]):
+                weights = np.ones((end - start, 1), np.float32)
+                if not first:
+                    weights[:OVERLAP, 0] = rising
+                if not last:
+                    weights[-OVERLAP:, 0] = rising[::-1]
+                lo, hi = max(a, start), min(b, end)
+                out[-1][lo - a : hi - a] += scores[lo - start : hi - start] * weights[lo - start : hi - start]
+        return out
+
+    def text_scores(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
+        """Scores (characters, tags) of whole texts, blended from overlapping windows."""
+        return self._blended(*self._read(texts, rows, lambda *_: None))
+
+    def tag(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
+        """The best tags of whole texts, the same as ``decode(text_scores(texts))``. Every character is scored; scores are blended and
+        searched only around the runs that pay by the leads of their characters (``_leads``), as no other run pays for any kind."""
+        lead = np.full(sum(map(len, texts)), APART, np.float32)
+
+        def each(windows: list[tuple[int, int, bool, bool]], scores: np.ndarray) -> None:
+            for (a, b, _, _), most in zip(windows, self._leads(scores)):
+                np.maximum(lead[a:b], most[: b - a], out=lead[a:b])
+
+        spans, windows, found = self._read(texts, rows, each)
+        least = min((need for _, _, need in self._kinds()), default=np.inf)
+        tags, parts, texts_of = [np.zeros(len(t), np.int8) for t in texts], [], []
+        for i, (a, b) in enumerate(spans):
+            for lo, hi in _regions(np.flatnonzero(_best_runs(lead[a:b]) > least), b - a, AROUND):
+                parts.append((a + lo, a + hi))
+                texts_of.append(i)
+        for i, (a, b), best in zip(texts_of, parts, self.decode(self._blended(parts, windows, found))):
+            tags[i][a - spans[i][0] : b - spans[i][0]] = best
+        return tags
+
+    def _kinds(self) -> list[tuple[int, float, float]]:
+        """The first tag of each kind, what is added to the lead of its characters over tag 0, and what an item must gain to pay."""
+        trans, out = self.w["trans"].astype(np.float64), []
+        for b in range(1, self.tags, 2):
+            on = trans[b + 1, b + 1]
+            out.append((b, on - trans[0, 0], -self.EDGE - (trans[0, b] + trans[b, b + 1] + trans[b + 1, 0] - 2 * on - trans[0, 0])))
+        return out
+
+    def _leads(self, scores: np.ndarray) -> np.ndarray:
+        """For windows (steps, rows, tags) the most that a character gains in an item of any kind (rows, steps), in units of the least that
+        an item must gain. Blended scores gain no more than the larger of the two that they are blended from."""
+        least, out = min((need for _, _, need in self._kinds()), default=1.0), np.full(scores.shape[:2], APART, np.float32)
+        for t in range(0, len(out), BLOCK):
+            part, most = scores[t : t + BLOCK], out[t : t + BLOCK]
+            outside = part[:, :, 0].copy()
+            for b, more, need in self._kinds():
+                lead = np.maximum(part[:, :, b], part[:, :, b + 1])
+                lead -= outside
+                lead += np.float32(more + 1e-4)  # more than single precision loses
+                if least > 0:
+                    lead *= np.float32(least / need)
+                np.maximum(most, lead, out=most)
+        return np.ascontiguousarray(out.T)
 
     def _possible(self, scores: Sequence[np.ndarray]) -> list[np.ndarray]:
         """For each text the characters that some item could hold. Tags 2k + 1 and 2k + 2 begin and go on with an item of kind k. An item
@@ -177,20 +263,17 @@ class CharTagger:
 
         Stretches of ``STRETCH`` characters are looked at first: a run gains at most all gains without the losses in the stretches
         of its ends, and gains and losses between them. A run that pays lies in stretches that could pay."""
-        trans, apart = self.w["trans"].astype(np.float64), -1e4  # the gain of what stands between two texts
         sizes = np.array([-(-len(s) // STRETCH) + 1 for s in scores], np.int64)  # in stretches; the last one is between texts
         starts = (np.cumsum(sizes) - sizes) * STRETCH
         flat = np.zeros((self.tags, int(sizes.sum()) * STRETCH), np.float32)
         for s, a, b in zip(scores, starts.tolist(), (starts + sizes * STRETCH).tolist()):
             flat[:, a : a + len(s)] = s.T
-            flat[0, a + len(s) : b] = -apart
+            flat[0, a + len(s) : b] = -APART
         keep = np.zeros(flat.shape[1], bool)
-        for b in range(1, self.tags, 2):
-            on = trans[b + 1, b + 1]
-            need = -self.EDGE - (trans[0, b] + trans[b, b + 1] + trans[b + 1, 0] - 2 * on - trans[0, 0])
+        for b, more, need in self._kinds():
             gain = np.maximum(flat[b], flat[b + 1])
             gain -= flat[0]
-            gain += np.float32(on - trans[0, 0])
+            gain += np.float32(more)
             rows = gain.reshape(-1, STRETCH)
             whole, most = ((r @ np.ones(STRETCH, np.float32)).astype(np.float64) for r in (rows, np.maximum(rows, 0)))
             whole, most = whole + 1e-3, most * 1.0001 + 1e-3  # in double precision, and more than single precision loses
@@ -205,25 +288,20 @@ class CharTagger:
             # the runs of these stretches, each row of neighbours by itself
             cut = np.concatenate([[0], np.cumsum(np.diff(could) > 1)])
             place = np.arange(len(could)) + cut
-            exact = np.full((place[-1] + 2, STRETCH), apart)
+            exact = np.full((place[-1] + 2, STRETCH), APART)
             at = (could[:, None] * STRETCH + np.arange(STRETCH)).ravel()
-            exact[place] = (np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + (on - trans[0, 0])).reshape(-1, STRETCH)
-            total = np.concatenate([[0.0], np.cumsum(exact)])
-            best = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])  # of the runs that hold the character
-            keep[at] |= best.reshape(-1, STRETCH)[place].ravel() > need
+            exact[place] = (np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + more).reshape(-1, STRETCH)
+            keep[at] |= _best_runs(exact.ravel()).reshape(-1, STRETCH)[place].ravel() > need
         return [np.flatnonzero(keep[a : a + len(s)]) for s, a in zip(scores, starts.tolist())]
 
     EDGE = 3.0  # what an item at the end of a text may save
 
-    def decode(self, scores: Sequence[np.ndarray], around: int = 12) -> list[np.ndarray]:
+    def decode(self, scores: Sequence[np.ndarray], around: int = AROUND) -> list[np.ndarray]:
         """The best tags of whole texts; tag 0 is outside."""
         tags = [np.zeros(len(s), np.int8) for s in scores]
         regions: list[tuple[int, int, int]] = []
         for i, (s, near) in enumerate(zip(scores, self._possible(scores))):
-            if len(near):
-                cuts = np.flatnonzero(np.diff(near) > 2 * around)
-                for a, b in zip(near[np.concatenate([[0], cuts + 1])], near[np.concatenate([cuts, [len(near) - 1]])]):
-                    regions.append((i, max(0, int(a) - around), min(len(s), int(b) + around + 1)))
+            regions += [(i, a, b) for a, b in _regions(near, len(s), around)]
         regions.sort(key=lambda r: r[2] - r[1])
         a = 0
         while a < len(regions):  # regions of like length together
@@ -244,17 +322,16 @@ class CharTagger:
 
     def _viterbi(self, scores: np.ndarray) -> np.ndarray:
         steps, rows, k = scores.shape
-        best, trans = np.empty((steps, rows, k), np.float32), self.w["trans"]
-        ways, into = np.empty((k, rows, k), np.float32), np.ascontiguousarray(trans.T)
-        best[0] = scores[0]
+        best, trans = np.array(scores.transpose(0, 2, 1), order="C"), self.w["trans"][:, :, None]
+        ways, most, into = np.empty((k, k, rows), np.float32), np.empty((k, rows), np.float32), self.w["trans"]
         for t in range(1, steps):
-            np.add(best[t - 1].T[:, :, None], trans[:, None, :], out=ways)
-            np.max(ways, axis=0, out=best[t])
-            best[t] += scores[t]
+            np.add(best[t - 1][:, None, :], trans, out=ways)
+            np.max(ways, axis=0, out=most)
+            best[t] += most
         out = np.empty((steps, rows), np.int8)
-        out[-1] = best[-1].argmax(axis=1)
+        out[-1] = best[-1].argmax(axis=0)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = (best[t - 1] + into[out[t]]).argmax(axis=1)
+            out[t - 1] = (best[t - 1] + into[:, out[t]]).argmax(axis=0)
         return out
 
     # training

@@ -103,3 +103,18 @@ def test_windows_cover_a_text_and_their_weights_make_one(monkeypatch):
         assert s.shape == (size, 5) and np.abs(s - 1).max(initial=0) < 1e-6
         windows = tagger.windows_of(size)
         assert all(b - a <= tagger.WINDOW for a, b in windows) and all(b - c == tagger.OVERLAP for (_, b), (c, _) in zip(windows, windows[1:]))
+
+
+def test_tags_are_those_of_whole_scores_and_only_stretches_that_may_pay_are_blended(monkeypatch):
+    t, rng = CharTagger.from_bytes(__import__("lavra.llm.pii", fromlist=["x"]).WEIGHTS.read_bytes()), np.random.default_rng(6)
+    plain = "nosso método compara os dados de cada acervo com os resultados descritos antes. "
+    texts = ["", TEXT, "a", "sem nada " * 30, "\ud800", *((plain * 9)[-n:] + TEXT + plain * 30 for n in rng.integers(1, 700, 12)), TEXT[:32] * 5, ""]
+    fresh = CharTagger.fresh(4, 5, seed=9)
+    fresh.w["trans"][0, 1:] -= 4
+    for model, rows in ((t, 768), (t, 7), (fresh, 5), (CharTagger.fresh(4, 5, seed=8), 5)):
+        for got, want in zip(model.tag(texts, rows), model.decode(model.text_scores(texts)), strict=True):
+            assert got.tolist() == want.tolist()
+    assert t.tag([]) == [] and [len(x) for x in t.tag(["", ""])] == [0, 0]
+    blended, blend = [], t._blended
+    monkeypatch.setattr(t, "_blended", lambda spans, *a: blended.extend(b - a for a, b in spans) or blend(spans, *a))
+    assert sum((x > 0).sum() for x in t.tag(texts)) > 1000 and sum(blended) < 0.5 * sum(map(len, texts))
