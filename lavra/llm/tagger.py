@@ -14,7 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 
 WINDOW, OVERLAP = 320, 32
-STRETCH, APART = 16, -1e4  # characters looked at together; the gain of what stands between two texts, less than any
+STRETCH, APART = 8, -1e4  # characters looked at together; the gain of what stands between two texts, less than any
 AROUND = 12  # characters searched beside those that an item could hold
 BLOCK = 16  # steps that are worked on while they are in the cache
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
@@ -45,7 +45,7 @@ _CLASS_OF, CLASSES = _classes()
 
 def encode(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return _CLASS_OF[np.minimum(points, 0xFFFF)]
+    return _CLASS_OF.take(points, mode="clip")
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
@@ -76,13 +76,37 @@ def _best_runs(gain: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
 
 
-def _regions(near: np.ndarray, size: int, around: int) -> list[tuple[int, int]]:
-    """(start, end) of the parts of a text that hold these characters and those around them."""
-    if not len(near):
-        return []
-    cuts = np.flatnonzero(np.diff(near) > 2 * around)
-    firsts, lasts = near[np.concatenate([[0], cuts + 1])], near[np.concatenate([cuts, [len(near) - 1]])]
-    return [(max(0, a - around), min(size, b + around + 1)) for a, b in zip(firsts.tolist(), lasts.tolist())]
+def _paying(gain: np.ndarray, need: float) -> np.ndarray:
+    """The characters that a run holds that gains more than is needed; their number is a multiple of ``STRETCH``.
+
+    Stretches of ``STRETCH`` characters are looked at first: a run gains at most all gains without the losses in the stretches
+    of its ends, and gains and losses between them. A run that pays lies in stretches that could pay."""
+    rows = gain.reshape(-1, STRETCH)
+    whole, most = ((r @ np.ones(STRETCH, np.float32)).astype(np.float64) for r in (rows, np.maximum(rows, 0)))
+    whole, most = whole + 1e-3, most * 1.0001 + 1e-3  # in double precision, and more than single precision loses
+    ends = np.cumsum(whole)
+    # the most that a run brings along from the stretches before and after
+    left, right = np.zeros(len(whole)), np.zeros(len(whole))
+    left[1:] = np.maximum(np.maximum.accumulate(most - ends)[:-1] + ends[:-1], 0)
+    right[:-1] = np.maximum(np.maximum.accumulate((most + ends - whole)[::-1])[::-1][1:] - ends[:-1], 0)
+    could = np.flatnonzero(np.maximum(most + np.maximum(left, right), whole + left + right) > need)
+    if not len(could):
+        return could
+    # the runs of these stretches, each row of neighbours by itself
+    place = np.arange(len(could)) + np.concatenate([[0], np.cumsum(np.diff(could) > 1)])
+    exact = np.full((place[-1] + 2, STRETCH), APART)
+    exact[place] = rows[could]
+    held = _best_runs(exact.ravel()).reshape(-1, STRETCH)[place] > need
+    return (could[:, None] * STRETCH + np.arange(STRETCH))[held]
+
+
+def _regions(near: np.ndarray, starts: np.ndarray, ends: np.ndarray, around: int) -> list[tuple[int, int, int]]:
+    """(text, start, end) of the parts of texts, which stand one behind the other, that hold these characters and those around them."""
+    of = np.searchsorted(starts, near, "right") - 1
+    cuts = np.flatnonzero((np.diff(near) > 2 * around) | (np.diff(of) > 0))
+    first, last = (np.concatenate(x).astype(np.intp)[: len(near)] for x in ([[0], cuts + 1], [cuts, [len(near) - 1]]))
+    of = of[first]
+    return list(zip(of.tolist(), np.maximum(starts[of], near[first] - around).tolist(), np.minimum(ends[of], near[last] + around + 1).tolist()))
 
 
 class CharTagger:
@@ -131,7 +155,9 @@ class CharTagger:
         rows, steps = ids.shape
         n, tags = self.hidden, self.tags
         padded = np.searchsorted(sizes, np.arange(steps), side="right").tolist() if sizes is not None else [0] * steps
-        by_step = np.concatenate([ids.T, ids.T[::-1] + np.int16(CLASSES)], axis=1).astype(np.intp)
+        by_step = np.empty((steps, 2 * rows), np.intp)
+        by_step[:, :rows] = ids.T
+        np.add(by_step[::-1, :rows], CLASSES, out=by_step[:, rows:])
         into, wh = self._blocks()
         held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((2 * rows, n), np.float32)
         z, gates, o, i_f, g_c, g, c = held[:4], held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
@@ -169,27 +195,26 @@ class CharTagger:
                 add(back, found[1], back)
         return out
 
-    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[list[tuple[int, int]], list[tuple[int, int, bool, bool]], list[np.ndarray]]:
-        """The places of the texts, one behind the other; (start, end, first, last) of their windows; the scores (characters, tags) of each
-        window. ``each`` gets the windows and scores of every call."""
-        spans, windows, total = [], [], 0
+    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[np.ndarray, list[tuple[int, int, bool, bool]], list[np.ndarray]]:
+        """Where the texts end, one behind the other; (start, end, first, last) of their windows; the scores (characters, tags) of each
+        window. ``each`` gets the starts, sizes and scores of the windows of every call."""
+        windows, total = [], [0]
         for t in texts:
-            spans.append((total, total + len(t)))
-            windows += [(total + a, total + b, a == 0, b == len(t)) for a, b in windows_of(len(t))]
-            total += len(t)
+            windows += [(total[-1] + a, total[-1] + b, a == 0, b == len(t)) for a, b in windows_of(len(t))]
+            total.append(total[-1] + len(t))
         codes = np.concatenate([encode("".join(texts)), np.zeros(WINDOW, np.int16)])
-        order = sorted(range(len(windows)), key=lambda w: windows[w][1] - windows[w][0])
+        starts, ends = np.array([w[:2] for w in windows], np.int64).reshape(-1, 2).T
+        order = np.argsort(ends - starts, kind="stable")
         found = [codes] * len(windows)
         rows = -(-len(windows) // max(1, -(-len(windows) // rows)))  # in parts of like size
         for at in range(0, len(windows), max(1, rows)):
             part = order[at : at + rows]
-            starts, ends = np.array([windows[w][:2] for w in part]).T
-            sizes = ends - starts
-            scores = self.scores(codes[starts + np.arange(sizes[-1])[:, None]].T, sizes)
-            for r, (w, size) in enumerate(zip(part, sizes.tolist())):
+            start, sizes = starts[part], ends[part] - starts[part]
+            scores = self.scores(codes[start + np.arange(sizes[-1])[:, None]].T, sizes)
+            for r, (w, size) in enumerate(zip(part.tolist(), sizes.tolist())):
                 found[w] = scores[:size, r]
-            each([windows[w] for w in part], scores)
-        return spans, windows, found
+            each(start, sizes, scores)
+        return np.array(total[1:], np.int64), windows, found
 
     def _blended(self, spans: Sequence[tuple[int, int]], windows: Sequence[tuple[int, int, bool, bool]], found: Sequence[np.ndarray]) -> list[np.ndarray]:
         """Scores (characters, tags) of whole texts or parts of them from those of their windows."""
@@ -210,26 +235,25 @@ class CharTagger:
 
     def text_scores(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
         """Scores (characters, tags) of whole texts, blended from overlapping windows."""
-        return self._blended(*self._read(texts, rows, lambda *_: None))
+        ends, windows, found = self._read(texts, rows, lambda *_: None)
+        return self._blended([(b - len(t), b) for t, b in zip(texts, ends.tolist())], windows, found)
 
     def tag(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
         """The best tags of whole texts, the same as ``decode(text_scores(texts))``. Every character is scored; scores are blended and
         searched only around the runs that pay by the leads of their characters (``_leads``), as no other run pays for any kind."""
-        lead = np.full(sum(map(len, texts)), APART, np.float32)
-
-        def each(windows: list[tuple[int, int, bool, bool]], scores: np.ndarray) -> None:
-            for (a, b, _, _), most in zip(windows, self._leads(scores)):
-                np.maximum(lead[a:b], most[: b - a], out=lead[a:b])
-
-        spans, windows, found = self._read(texts, rows, each)
-        least = min((need for _, _, need in self._kinds()), default=np.inf)
-        tags, parts, texts_of = [np.zeros(len(t), np.int8) for t in texts], [], []
-        for i, (a, b) in enumerate(spans):
-            for lo, hi in _regions(np.flatnonzero(_best_runs(lead[a:b]) > least), b - a, AROUND):
-                parts.append((a + lo, a + hi))
-                texts_of.append(i)
-        for i, (a, b), best in zip(texts_of, parts, self.decode(self._blended(parts, windows, found))):
-            tags[i][a - spans[i][0] : b - spans[i][0]] = best
+        lead = np.full(-(-sum(map(len, texts)) // STRETCH) * STRETCH, APART, np.float32)
+
+        def each(starts: np.ndarray, sizes: np.ndarray, scores: np.ndarray) -> None:
+            for a, size, most in zip(starts.tolist(), sizes.tolist(), self._leads(scores)):
+                e = lead[a : a + size]
+                np.maximum(e, most[:size], e)
+
+        ends, windows, found = self._read(texts, rows, each)
+        starts = ends - [len(t) for t in texts]
+        near = _paying(lead, min((need for _, _, need in self._kinds()), default=np.inf))  # runs over two texts are harmless
+        regions, tags = _regions(near, starts, ends, AROUND), [np.zeros(len(t), np.int8) for t in texts]
+        for (i, a, b), best in zip(regions, self.decode(self._blended([r[1:] for r in regions], windows, found))):
+            tags[i][a - starts[i] : b - starts[i]] = best
         return tags
 
     def _kinds(self) -> list[tuple[int, float, float]]:
@@ -259,10 +283,7 @@ class CharTagger:
     def _possible(self, scores: Sequence[np.ndarray]) -> list[np.ndarray]:
         """For each text the characters that some item could hold. Tags 2k + 1 and 2k + 2 begin and go on with an item of kind k. An item
         pays for entry and exit and gains its lead over tag 0 in each of its characters; where no run of characters pays for any kind,
-        the best path stays outside, so these need no search.
-
-        Stretches of ``STRETCH`` characters are looked at first: a run gains at most all gains without the losses in the stretches
-        of its ends, and gains and losses between them. A run that pays lies in stretches that could pay."""
+        the best path stays outside, so these need no search."""
         sizes = np.array([-(-len(s) // STRETCH) + 1 for s in scores], np.int64)  # in stretches; the last one is between texts
         starts = (np.cumsum(sizes) - sizes) * STRETCH
         flat = np.zeros((self.tags, int(sizes.sum()) * STRETCH), np.float32)
@@ -274,24 +295,7 @@ class CharTagger:
             gain = np.maximum(flat[b], flat[b + 1])
             gain -= flat[0]
             gain += np.float32(more)
-            rows = gain.reshape(-1, STRETCH)
-            whole, most = ((r @ np.ones(STRETCH, np.float32)).astype(np.float64) for r in (rows, np.maximum(rows, 0)))
-            whole, most = whole + 1e-3, most * 1.0001 + 1e-3  # in double precision, and more than single precision loses
-            ends = np.cumsum(whole)
-            # the most that a run brings along from the stretches before and after
-            left, right = np.zeros(len(whole)), np.zeros(len(whole))
-            left[1:] = np.maximum(np.maximum.accumulate(most - ends)[:-1] + ends[:-1], 0)
-            right[:-1] = np.maximum(np.maximum.accumulate((most + ends - whole)[::-1])[::-1][1:] - ends[:-1], 0)
-            could = np.flatnonzero(np.maximum(most + np.maximum(left, right), whole + left + right) > need)
-            if not len(could):
-                continue
-            # the runs of these stretches, each row of neighbours by itself
-            cut = np.concatenate([[0], np.cumsum(np.diff(could) > 1)])
-            place = np.arange(len(could)) + cut
-            exact = np.full((place[-1] + 2, STRETCH), APART)
-            at = (could[:, None] * STRETCH + np.arange(STRETCH)).ravel()
-            exact[place] = (np.maximum(flat[b, at], flat[b + 1, at]) - flat[0, at] + more).reshape(-1, STRETCH)
-            keep[at] |= _best_runs(exact.ravel()).reshape(-1, STRETCH)[place].ravel() > need
+            keep[_paying(gain, need)] = True
         return [np.flatnonzero(keep[a : a + len(s)]) for s, a in zip(scores, starts.tolist())]
 
     EDGE = 3.0  # what an item at the end of a text may save
@@ -299,9 +303,10 @@ class CharTagger:
     def decode(self, scores: Sequence[np.ndarray], around: int = AROUND) -> list[np.ndarray]:
         """The best tags of whole texts; tag 0 is outside."""
         tags = [np.zeros(len(s), np.int8) for s in scores]
-        regions: list[tuple[int, int, int]] = []
-        for i, (s, near) in enumerate(zip(scores, self._possible(scores))):
-            regions += [(i, a, b) for a, b in _regions(near, len(s), around)]
+        ends = np.cumsum([len(s) for s in scores], dtype=np.int64)
+        starts = ends - [len(s) for s in scores]
+        near = np.concatenate([np.zeros(0, np.int64), *(x + a for x, a in zip(self._possible(scores), starts))])
+        regions = [(i, a - starts[i], b - starts[i]) for i, a, b in _regions(near, starts, ends, around)]
         regions.sort(key=lambda r: r[2] - r[1])
         a = 0
         while a < len(regions):  # regions of like length together
