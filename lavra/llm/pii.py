@@ -13,6 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,12 @@ def spans_of(text: str, tags: np.ndarray) -> list[tuple[int, int, str]]:
     if not len(inside):
         return out
     runs: list[list[int]] = []
-    for i in inside:
-        kind = (int(tags[i]) - 1) // 2
-        if runs and runs[-1][1] == i and runs[-1][2] == kind and not (tags[i] % 2 and not _inside_word(text, i)):
-            runs[-1][1] = int(i) + 1
+    for i, tag in zip(inside.tolist(), tags[inside].tolist()):
+        kind = (tag - 1) // 2
+        if runs and runs[-1][1] == i and runs[-1][2] == kind and not (tag % 2 and not _inside_word(text, i)):
+            runs[-1][1] = i + 1
         else:
-            runs.append([int(i), int(i) + 1, kind])
+            runs.append([i, i + 1, kind])
     for a, b, k in runs:
         while a > 0 and _inside_word(text, a) and not (out and a <= out[-1][1]):
             a -= 1
@@ -85,11 +86,11 @@ def _holds(item: str, kind: str) -> bool:
 def _tagged(batches: Iterator[pa.RecordBatch], weights: bytes, make, names: list[str]) -> Iterator[pa.RecordBatch]:
     tagger = CharTagger.from_bytes(weights)
     for batch in batches:
-        at = 0
+        at, sizes = 0, pc.utf8_length(batch.column(1)).fill_null(0).to_pylist()
         while at < batch.num_rows:  # slices of a bounded number of characters, one long text at least
             size, end = 0, at
             while end < batch.num_rows and (end == at or size < 800_000):
-                size += len(batch.column(1)[end].as_py() or "")
+                size += sizes[end]
                 end += 1
             part = batch.slice(at, end - at)
             at = end

@@ -60,13 +60,20 @@ def _soft(x: np.ndarray) -> np.ndarray:
     return x / (1 + np.abs(x))
 
 
+def _windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the windows of texts of these sizes: as few as cover each, of like length, each with the first ``OVERLAP``
+    characters of the next."""
+    parts = np.where(sizes > 0, np.maximum(1, -(-(sizes - OVERLAP) // (WINDOW - OVERLAP))), 0)
+    of = np.repeat(np.arange(len(sizes)), parts)
+    i, long = np.arange(len(of)) - (np.cumsum(parts) - parts)[of], (sizes - OVERLAP)[of]
+    cuts = (np.rint(k * long / parts[of]).astype(np.int64) for k in (i, i + 1))
+    return of, next(cuts), next(cuts) + OVERLAP
+
+
 def windows_of(size: int) -> list[tuple[int, int]]:
-    """(start, end) of the windows of a text: as few as cover it, of like length, each with the first ``OVERLAP`` characters of the next."""
-    if not size:
-        return []
-    parts = max(1, -(-(size - OVERLAP) // (WINDOW - OVERLAP)))
-    cuts = [round(i * (size - OVERLAP) / parts) for i in range(parts + 1)]
-    return [(a, b + OVERLAP) for a, b in zip(cuts, cuts[1:])]
+    """(start, end) of the windows of a text."""
+    _, starts, ends = _windows(np.array([size]))
+    return list(zip(starts.tolist(), ends.tolist()))
 
 
 def _best_runs(gain: np.ndarray) -> np.ndarray:
@@ -195,42 +202,41 @@ class CharTagger:
                 add(back, found[1], back)
         return out
 
-    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[np.ndarray, list[tuple[int, int, bool, bool]], list[np.ndarray]]:
-        """Where the texts end, one behind the other; (start, end, first, last) of their windows; the scores (characters, tags) of each
-        window. ``each`` gets the starts, sizes and scores of the windows of every call."""
-        windows, total = [], [0]
-        for t in texts:
-            windows += [(total[-1] + a, total[-1] + b, a == 0, b == len(t)) for a, b in windows_of(len(t))]
-            total.append(total[-1] + len(t))
+    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[np.ndarray, tuple[np.ndarray, ...], list[np.ndarray]]:
+        """Where the texts end, one behind the other; starts and ends of their windows, and which are first and last; the scores
+        (characters, tags) of each window. ``each`` gets the starts, sizes and scores of the windows of every call."""
+        lengths = np.array([len(t) for t in texts], np.int64)
+        of, starts, ends = _windows(lengths)
+        places, first, last = np.cumsum(lengths) - lengths, starts == 0, ends == lengths[of]
+        starts, ends = starts + places[of], ends + places[of]
         codes = np.concatenate([encode("".join(texts)), np.zeros(WINDOW, np.int16)])
-        starts, ends = np.array([w[:2] for w in windows], np.int64).reshape(-1, 2).T
-        order = np.argsort(ends - starts, kind="stable")
-        found = [codes] * len(windows)
-        rows = -(-len(windows) // max(1, -(-len(windows) // rows)))  # in parts of like size
-        for at in range(0, len(windows), max(1, rows)):
+        order, found = np.argsort(ends - starts, kind="stable"), [codes] * len(of)
+        rows = -(-len(of) // max(1, -(-len(of) // rows)))  # in parts of like size
+        for at in range(0, len(of), max(1, rows)):
             part = order[at : at + rows]
             start, sizes = starts[part], ends[part] - starts[part]
             scores = self.scores(codes[start + np.arange(sizes[-1])[:, None]].T, sizes)
             for r, (w, size) in enumerate(zip(part.tolist(), sizes.tolist())):
                 found[w] = scores[:size, r]
             each(start, sizes, scores)
-        return np.array(total[1:], np.int64), windows, found
+        return places + lengths, (starts, ends, first, last), found
 
-    def _blended(self, spans: Sequence[tuple[int, int]], windows: Sequence[tuple[int, int, bool, bool]], found: Sequence[np.ndarray]) -> list[np.ndarray]:
+    def _blended(self, spans: Sequence[tuple[int, int]], windows: tuple[np.ndarray, ...], found: Sequence[np.ndarray]) -> list[np.ndarray]:
         """Scores (characters, tags) of whole texts or parts of them from those of their windows."""
         rising, out = np.arange(1, OVERLAP + 1, dtype=np.float32) / np.float32(OVERLAP + 1), []
-        begins = np.searchsorted([w[1] for w in windows], [a for a, _ in spans], "right").tolist()
-        ends = np.searchsorted([w[0] for w in windows], [b for _, b in spans]).tolist()
-        for (a, b), i, j in zip(spans, begins, ends):
+        starts, ends, firsts, lasts = windows
+        begin, stop = np.searchsorted(ends, [a for a, _ in spans], "right"), np.searchsorted(starts, [b for _, b in spans])
+        for (a, b), i, j in zip(spans, begin.tolist(), stop.tolist()):
             out.append(np.zeros((b - a, self.tags), np.float32))
-            for (start, end, first, last), scores in zip(windows[i:j], found[i:j]):
+            for w in range(i, j):
+                start, end = int(starts[w]), int(ends[w])
                 weights = np.ones((end - start, 1), np.float32)
-                if not first:
+                if not firsts[w]:
                     weights[:OVERLAP, 0] = rising
-                if not last:
+                if not lasts[w]:
                     weights[-OVERLAP:, 0] = rising[::-1]
                 lo, hi = max(a, start), min(b, end)
-                out[-1][lo - a : hi - a] += scores[lo - start : hi - start] * weights[lo - start : hi - start]
+                out[-1][lo - a : hi - a] += found[w][lo - start : hi - start] * weights[lo - start : hi - start]
         return out
 
     def text_scores(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
@@ -312,10 +318,10 @@ class CharTagger:
         while a < len(regions):  # regions of like length together
             first = regions[a][2] - regions[a][1]
             end = a + 1
-            while end < len(regions) and regions[end][2] - regions[end][1] <= 1.25 * first + 16 and (end - a + 1) * first <= 200_000:
+            while end < len(regions) and regions[end][2] - regions[end][1] <= 1.25 * first + 64 and (end - a + 1) * first <= 200_000:
                 end += 1
             part, a = regions[a:end], end
-            steps = part[-1][2] - part[-1][1]
+            steps = part[-1][2] - part[-1][1] + 1  # one outside at least, so that all leave their last item at the same price
             padded = np.zeros((steps, len(part), self.tags), np.float32)
             padded[:, :, 1:] = -1e4
             for r, (i, lo, hi) in enumerate(part):
@@ -336,7 +342,7 @@ class CharTagger:
         out = np.empty((steps, rows), np.int8)
         out[-1] = best[-1].argmax(axis=0)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = (best[t - 1] + into[:, out[t]]).argmax(axis=0)
+            out[t - 1] = (best[t - 1] + into.take(out[t], axis=1)).argmax(axis=0)
         return out
 
     # training

@@ -118,3 +118,12 @@ def test_tags_are_those_of_whole_scores_and_only_stretches_that_may_pay_are_blen
     blended, blend = [], t._blended
     monkeypatch.setattr(t, "_blended", lambda spans, *a: blended.extend(b - a for a, b in spans) or blend(spans, *a))
     assert sum((x > 0).sum() for x in t.tag(texts)) > 1000 and sum(blended) < 0.5 * sum(map(len, texts))
+
+
+def test_the_end_of_a_text_is_read_alike_whatever_stands_beside_it():
+    t = CharTagger.from_bytes(__import__("lavra.llm.pii", fromlist=["x"]).WEIGHTS.read_bytes())
+    texts = [x for n in (0, 5, 40, 60) for x in (" " * n + "1" * (43 + n), " " * (52 + n), TEXT[: TEXT.index(" pela") - n])] + [TEXT]
+    together = [x.tolist() for x in t.tag(texts)]
+    assert together == [t.tag([x])[0].tolist() for x in texts]
+    behind = np.array([[0] + [-1e4] * (t.tags - 1)], np.float32)
+    assert together == [t._viterbi(np.concatenate([s, behind])[:, None, :])[:-1, 0].tolist() for s in t.text_scores(texts)]
