@@ -17,6 +17,7 @@ WINDOW, OVERLAP = 320, 32
 STRETCH, APART = 8, -1e4  # characters looked at together; the gain of what stands between two texts, less than any
 AROUND = 12  # characters searched beside those that an item could hold
 BLOCK = 16  # steps that are worked on while they are in the cache
+ROOM = 2**27  # bytes of scores that are kept from call to call; what a longer text takes is given back
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
 
@@ -124,6 +125,7 @@ class CharTagger:
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = {k: np.asarray(v, dtype=np.float32) for k, v in weights.items()}
         self.hidden, self.tags = self.w["of"].shape
+        self._room = np.empty(0, np.float32)  # for the scores of a call, as new memory costs time
 
     @classmethod
     def fresh(cls, hidden: int, tags: int, seed: int = 0) -> CharTagger:
@@ -156,9 +158,10 @@ class CharTagger:
         into = np.concatenate([block(self.w["x" + d]) + base for d in "fb"], axis=1)
         return into, np.stack([block(self.w["h" + d]) for d in "fb"], axis=1)
 
-    def scores(self, ids: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
-        """Scores (steps, rows, tags) of windows of classes (rows, steps). With ``sizes``, ascending, the backward cells rest in the
-        padding behind a shorter window, whose own scores mean nothing. Both directions go in step, so that a call serves both."""
+    def scores(self, ids: np.ndarray, sizes: np.ndarray | None = None, room: np.ndarray | None = None) -> np.ndarray:
+        """Scores (steps, rows, tags) of windows of classes (rows, steps), in ``room`` if there is any. With ``sizes``, ascending, the
+        backward cells rest in the padding behind a shorter window, whose own scores mean nothing. Both directions go in step, so that
+        a call serves both."""
         rows, steps = ids.shape
         n, tags = self.hidden, self.tags
         padded = np.searchsorted(sizes, np.arange(steps), side="right").tolist() if sizes is not None else [0] * steps
@@ -171,7 +174,9 @@ class CharTagger:
         inputs = list(zip(into, z.reshape(4, 2 * rows, n)))  # gate by gate, so that what is looked up stays in the cache
         u, one, zero = np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
         h, wo = np.zeros((2, rows, n), np.float32), np.stack([self.w["of"], self.w["ob"]])
-        out, found, bias = np.empty((steps, rows, tags), np.float32), np.empty((2, rows, tags), np.float32), np.tile(self.w["bias"], (rows, 1))
+        out = np.empty((steps, rows, tags), np.float32) if room is None else room[: steps * rows * tags].reshape(steps, rows, tags)
+        found, bias = np.empty((2, rows, tags), np.float32), np.tile(self.w["bias"], (rows, 1))
+        ahead, behind = found
         # looked up once, as the calls are short
         matmul, add, multiply, divide, absolute, clip = np.matmul, np.add, np.multiply, np.divide, np.absolute, gates.clip
         for t in range(steps):
@@ -195,30 +200,38 @@ class CharTagger:
             matmul(h, wo, found)
             there, back = out[t], out[steps - 1 - t]
             if 2 * t < steps - 1:  # the first to come takes the bias along
-                add(found[0], bias, there)
-                add(found[1], bias, back)
+                add(ahead, bias, there)
+                add(behind, bias, back)
             else:
-                add(found[0], there if 2 * t >= steps else bias, there)
-                add(back, found[1], back)
+                add(ahead, there if 2 * t >= steps else bias, there)
+                add(back, behind, back)
         return out
 
-    def _read(self, texts: Sequence[str], rows: int, each) -> tuple[np.ndarray, tuple[np.ndarray, ...], list[np.ndarray]]:
+    def _read(self, texts: Sequence[str], rows: int, each=None) -> tuple[np.ndarray, tuple[np.ndarray, ...], list[np.ndarray]]:
         """Where the texts end, one behind the other; starts and ends of their windows, and which are first and last; the scores
-        (characters, tags) of each window. ``each`` gets the starts, sizes and scores of the windows of every call."""
+        (characters, tags) of each window. ``each``, if any, gets the starts, sizes and scores of the windows of every call, and scores are
+        kept in the tagger's own room until the next time."""
         lengths = np.array([len(t) for t in texts], np.int64)
         of, starts, ends = _windows(lengths)
         places, first, last = np.cumsum(lengths) - lengths, starts == 0, ends == lengths[of]
         starts, ends = starts + places[of], ends + places[of]
-        codes = np.concatenate([encode("".join(texts)), np.zeros(WINDOW, np.int16)])
+        codes = np.concatenate([*map(encode, texts), np.zeros(WINDOW, np.int16)])
         order, found = np.argsort(ends - starts, kind="stable"), [codes] * len(of)
         rows = -(-len(of) // max(1, -(-len(of) // rows)))  # in parts of like size
-        for at in range(0, len(of), max(1, rows)):
-            part = order[at : at + rows]
+        parts = [order[at : at + rows] for at in range(0, len(of), max(1, rows))]
+        if each and len(self._room) < (need := sum(len(p) * int(ends[p[-1]] - starts[p[-1]]) for p in parts) * self.tags):
+            self._room = np.empty(need, np.float32)
+        room = self._room
+        for part in parts:
             start, sizes = starts[part], ends[part] - starts[part]
-            scores = self.scores(codes[start + np.arange(sizes[-1])[:, None]].T, sizes)
+            ids = codes[start + np.arange(sizes[-1])[:, None]].T
+            if each:
+                scores, room = self.scores(ids, sizes, room), room[ids.size * self.tags :]
+                each(start, sizes, scores)
+            else:
+                scores = self.scores(ids, sizes)
             for r, (w, size) in enumerate(zip(part.tolist(), sizes.tolist())):
                 found[w] = scores[:size, r]
-            each(start, sizes, scores)
         return places + lengths, (starts, ends, first, last), found
 
     def _blended(self, spans: Sequence[tuple[int, int]], windows: tuple[np.ndarray, ...], found: Sequence[np.ndarray]) -> list[np.ndarray]:
@@ -241,7 +254,7 @@ class CharTagger:
 
     def text_scores(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
         """Scores (characters, tags) of whole texts, blended from overlapping windows."""
-        ends, windows, found = self._read(texts, rows, lambda *_: None)
+        ends, windows, found = self._read(texts, rows)
         return self._blended([(b - len(t), b) for t, b in zip(texts, ends.tolist())], windows, found)
 
     def tag(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
@@ -260,6 +273,8 @@ class CharTagger:
         regions, tags = _regions(near, starts, ends, AROUND), [np.zeros(len(t), np.int8) for t in texts]
         for (i, a, b), best in zip(regions, self.decode(self._blended([r[1:] for r in regions], windows, found))):
             tags[i][a - starts[i] : b - starts[i]] = best
+        if self._room.nbytes > ROOM:
+            self._room = np.empty(0, np.float32)
         return tags
 
     def _kinds(self) -> list[tuple[int, float, float]]:
