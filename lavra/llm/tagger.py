@@ -243,13 +243,16 @@ class CharTagger:
             out.append(np.zeros((b - a, self.tags), np.float32))
             for w in range(i, j):
                 start, end = int(starts[w]), int(ends[w])
-                weights = np.ones((end - start, 1), np.float32)
-                if not firsts[w]:
-                    weights[:OVERLAP, 0] = rising
-                if not lasts[w]:
-                    weights[-OVERLAP:, 0] = rising[::-1]
                 lo, hi = max(a, start), min(b, end)
-                out[-1][lo - a : hi - a] += found[w][lo - start : hi - start] * weights[lo - start : hi - start]
+                piece = found[w][lo - start : hi - start]
+                if not firsts[w] and lo < start + OVERLAP or not lasts[w] and hi > end - OVERLAP:
+                    weights = np.ones((end - start, 1), np.float32)
+                    if not firsts[w]:
+                        weights[:OVERLAP, 0] = rising
+                    if not lasts[w]:
+                        weights[-OVERLAP:, 0] = rising[::-1]
+                    piece = piece * weights[lo - start : hi - start]
+                out[-1][lo - a : hi - a] += piece
         return out
 
     def text_scores(self, texts: Sequence[str], rows: int = 768) -> list[np.ndarray]:
@@ -288,17 +291,21 @@ class CharTagger:
     def _leads(self, scores: np.ndarray) -> np.ndarray:
         """For windows (steps, rows, tags) the most that a character gains in an item of any kind (rows, steps), in units of the least that
         an item must gain. Blended scores gain no more than the larger of the two that they are blended from."""
-        least, out = min((need for _, _, need in self._kinds()), default=1.0), np.full(scores.shape[:2], APART, np.float32)
-        for t in range(0, len(out), BLOCK):
-            part, most = scores[t : t + BLOCK], out[t : t + BLOCK]
-            outside = part[:, :, 0].copy()
-            for b, more, need in self._kinds():
-                lead = np.maximum(part[:, :, b], part[:, :, b + 1])
-                lead -= outside
-                lead += np.float32(more + 1e-4)  # more than single precision loses
-                if least > 0:
-                    lead *= np.float32(least / need)
-                np.maximum(most, lead, out=most)
+        kinds, (steps, rows, _) = self._kinds(), scores.shape
+        least, out = min((need for _, _, need in kinds), default=1.0), np.full((steps, rows), APART, np.float32)
+        flat, most, size = scores.reshape(steps * rows, -1), out.reshape(-1), BLOCK * rows
+        outside, lead = np.empty(size, np.float32), np.empty(size, np.float32)
+        for at in range(0, len(flat), size):
+            part, best = flat[at : at + size], most[at : at + size]
+            zero, gain = outside[: len(part)], lead[: len(part)]
+            np.copyto(zero, part[:, 0])
+            for b, more, need in kinds:
+                unit = least / need if least > 0 else 1.0
+                np.maximum(part[:, b], part[:, b + 1], gain)
+                np.subtract(gain, zero, gain)
+                np.add(gain, np.float32(more + 1e-4), gain)  # more than single precision loses
+                np.multiply(gain, np.float32(unit), gain)
+                np.maximum(best, gain, best)
         return np.ascontiguousarray(out.T)
 
     def _possible(self, scores: Sequence[np.ndarray]) -> list[np.ndarray]:
