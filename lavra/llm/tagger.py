@@ -355,16 +355,16 @@ class CharTagger:
 
     def _viterbi(self, scores: np.ndarray) -> np.ndarray:
         steps, rows, k = scores.shape
-        best, trans = np.array(scores.transpose(0, 2, 1), order="C"), self.w["trans"][:, :, None]
-        ways, most, into = np.empty((k, k, rows), np.float32), np.empty((k, rows), np.float32), self.w["trans"]
+        best, trans = np.array(scores.transpose(0, 2, 1), order="C"), np.repeat(self.w["trans"][:, :, None], rows, axis=2)
+        ways, most, into = np.empty((k, k, rows), np.float32), np.empty((k, rows), np.float32), np.ascontiguousarray(self.w["trans"].T)
         for t in range(1, steps):
             np.add(best[t - 1][:, None, :], trans, out=ways)
-            np.max(ways, axis=0, out=most)
+            np.maximum.reduce(ways, 0, None, most)
             best[t] += most
         out = np.empty((steps, rows), np.int8)
         out[-1] = best[-1].argmax(axis=0)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = (best[t - 1] + into.take(out[t], axis=1)).argmax(axis=0)
+            out[t - 1] = (best[t - 1].T + into.take(out[t], axis=0)).argmax(axis=1)
         return out
 
     # training
