@@ -16,7 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.operators.components import connected_components
@@ -207,6 +207,11 @@ def _rows(df: DataFrame, schema: str, make) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join whose both sides go to their keys: small sides sent to all executors, a hundred of them, would go through the driver."""
+    return df.hint("merge")
+
+
 #: A token in at most so many readings may be a typing error of any other token.
 RARE = 2
 #: A token in any number of readings may be a typing error of tokens that are at least so many times as frequent.
@@ -223,15 +228,42 @@ def _slips(known: DataFrame, particles: DataFrame) -> DataFrame:
     likely = known.unionAll(particles).where("length(token) > 1").select("k", F.col("token").alias("other"), F.col("n").alias("m"))
     frequent = known.where(F.col("n") > RARE)
     # tokens one edit apart are the same, or lose one letter to become the same
-    near = frequent.where("length(token) > 1").withColumn("part", shorter("token")).join(likely.where(F.col("m") > RARE * SLIP_RATIO).withColumn("part", shorter("other")), ["k", "part"])
+    near = frequent.where("length(token) > 1").withColumn("part", shorter("token")).join(_keyed(likely.where(F.col("m") > RARE * SLIP_RATIO).withColumn("part", shorter("other"))), ["k", "part"])
     near = near.where(much).where(near_tokens("token", "other")).select("k", "token", "other")
     halves = frequent.where("length(token) > 3").withColumn("at", F.expr("explode(sequence(2, length(token) - 2))"))
-    halves = halves.withColumn("other", F.expr("explode(array(left(token, at), substring(token, at + 1)))")).join(likely, ["k", "other"]).where(much)
+    halves = halves.withColumn("other", F.expr("explode(array(left(token, at), substring(token, at + 1)))")).join(_keyed(likely), ["k", "other"]).where(much)
     halves = halves.groupBy("k", "token", "at").agg(F.count(F.lit(1)).alias("found")).where("found = 2").select("k", "token", F.lit(None).cast("string").alias("other"))
     found = near.unionAll(halves).groupBy("k", "token").agg(F.collect_set("other").alias("others"))
     return found.unionAll(known.where((F.col("n") <= RARE) & (F.length("token") > 1)).select("k", "token", F.lit(None).cast("array<string>")))
 
 
+#: Up to so many links are united in one task, whose memory they bound; more of them in steps over all executors.
+UNITED_LINKS = 50_000
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``entity, component`` of the ends of all these links; ``component`` is the least entity connected to it."""
+    over: dict[str, str] = {}
+
+    def top(x: str) -> str:
+        while (up := over.setdefault(x, x)) != x:
+            over[x] = x = over[up]
+        return x
+
+    for b in batches:
+        for x, y in zip(*(c.to_pylist() for c in b.columns)):
+            x, y = top(x), top(y)
+            over[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays([pa.array(list(over), pa.string()), pa.array([top(x) for x in list(over)], pa.string())], names=["entity", "component"])
+
+
+def _merged(edges: DataFrame, n: int) -> DataFrame:
+    """``entity, component`` for the entities that these ``n`` links ``ea, eb`` merge."""
+    if n <= UNITED_LINKS:
+        return F.broadcast(edges.coalesce(1).mapInArrow(_united, "entity string, component string"))
+    return connected_components(edges, "ea", "eb").select(F.col("node").alias("entity"), "component")
+
+
 def link_names(names: DataFrame) -> DataFrame:
     """``kind, name, entity`` for every distinct spelling in ``names`` (``kind`` author or institution, ``name``).
 
@@ -240,7 +272,7 @@ def link_names(names: DataFrame) -> DataFrame:
     """
     spelled = names.where("name is not null and trim(name) <> ''").select("kind", "name").distinct()
     read = durable(_rows(spelled, "kind string, name string, canon string", lambda k, n: [(k, n, f"{k[0]}|{' '.join(read_name(k, n)) or '#' + n}")]))
-    canons = read.select("canon").distinct()
+    canons = durable(read.select("canon").distinct())
     split = lambda canon: (("author" if canon[0] == "a" else "institution"), canon[2:].split(" "))
     tokens = canons.select(F.substring("canon", 1, 1).alias("k"), F.explode(F.array_distinct(F.split(F.expr("substring(canon, 3)"), " "))).alias("token"))
     known = durable(tokens.groupBy("k", "token").agg(F.count(F.lit(1)).alias("n")))
@@ -248,8 +280,8 @@ def link_names(names: DataFrame) -> DataFrame:
     small = _rows(spelled, "k string, token string", lambda k, n: [(k[0], w) for w in {plain(w) for w in _WORDS.findall(n)} if w in _PARTICLES])
     small = small.groupBy("k", "token").agg(F.count(F.lit(1)).alias("n"))
     slips = durable(_slips(known, small))
-    rare = per.join(slips, ["k", "token"]).groupBy("canon").agg(F.collect_list("token").alias("rare"))
-    base = durable(canons.join(rare, "canon", "left"))
+    rare = per.join(_keyed(slips), ["k", "token"]).groupBy("canon").agg(F.collect_list("token").alias("rare"))
+    base = durable(canons.join(_keyed(rare), "canon", "left"))
     suspects = base.where("rare is not null")
 
     # Readings of misplaced blanks, and readings with a rare token left open; both computed once. So are the forms that a mistyped full
@@ -259,65 +291,72 @@ def link_names(names: DataFrame) -> DataFrame:
         return [(c, f"{c[:2]}{f}", "y" if i else "n") for i, f in enumerate(forms_of(kind, tokens) if is_full(kind, tokens) else [reading])]
 
     fixes = durable(
-        read.join(suspects.select("canon"), "canon", "left_semi").select("kind", "name", "canon").transform(
+        read.join(_keyed(suspects.select("canon")), "canon", "left_semi").select("kind", "name", "canon").transform(
             lambda d: _rows(d, "kind string, canon string, key string, derived string", lambda k, n, c: [(k, *x) for r in repaired(k, n) for x in keys_of(c, r)])
         ).select("canon", "key", "derived").where("canon <> key").distinct()
     )
     gaps = durable(_rows(suspects.select("canon", "rare"), "canon string, gap string, token string, derived string",
                          lambda c, r: [(c, f"{c[:2]}{g}", t, d) for _, f, d in keys_of(c, c[2:]) for g, t in _gaps(split(f)[1], set(r))])
-                   .withColumn("k", F.substring("canon", 1, 1)).join(slips, ["k", "token"]))
+                   .withColumn("k", F.substring("canon", 1, 1)).join(_keyed(slips), ["k", "token"]))
+
     def level(c: str, form: int) -> str:
         kind, tokens = split(c)
         return "0" if not is_full(kind, tokens) else ("1" if form else "0") if tokens[0][0] == "~" else "2"
 
-    labels = base.select("canon", F.col("canon").alias("entity"))
-    extra, pending, settled = None, None, False
-    while True:  # every round merges entities, or is the last but one
-        sources = base.where("rare is null") if not settled else base
-        sources = sources.select("canon")
-        if extra is not None:
-            sources = sources.withColumn("from", F.col("canon")).unionAll(extra.select(F.col("full").alias("canon"), F.col("canon").alias("from")))
-        else:
-            sources = sources.withColumn("from", F.col("canon"))
-        formed = _rows(sources.select("canon", "from"), "from string, form string, full string", lambda c, f: [(f, c[:2] + x, level(c, i)) for i, x in enumerate(forms_of(*split(c)))])
-        formed = formed.join(labels.select(F.col("canon").alias("from"), "entity"), "from")
-        # a form that some full name has belongs to that name, or else to a nickname with all surnames; else it may only be met by a typing error
-        of_level = lambda f, c: F.coalesce(*[f(F.when(F.col("full") == v, F.col(c))) for v in "210"])
-        forms = formed.groupBy("form").agg(
-            of_level(F.min, "entity").alias("entity"), of_level(F.max, "entity").alias("other"), of_level(F.min, "from").alias("from"), (F.max("full") > "0").alias("owned")
-        )
-        single = durable(forms.where("entity = other").select("form", "from", "entity", "owned"))
-        exact = base.select("canon").join(single, F.col("canon") == F.col("form")).select(F.col("canon").alias("a"), F.col("from").alias("b"))
-        shifted = fixes.join(single, fixes.key == single.form).where("derived = 'n' or not owned").select(F.col("canon").alias("a"), "from", "entity")
-        opened = _rows(single.select("form"), "form string, gap string, other string", lambda f: [(f, f"{f[:2]}{g}", t) for g, t in _gaps(split(f)[1])])
+    def forms_made(sources: DataFrame) -> DataFrame:
+        make = lambda c, f, late: [(f, c[:2] + x, level(c, i), late) for i, x in enumerate(forms_of(*split(c)))]
+        return durable(_rows(sources.select("canon", "from", "late"), "from string, form string, full string, late string", make))
+
+    def meetings(formed: DataFrame) -> DataFrame:
+        """``a, form, near, weak``: the readings that have one of these forms, exactly or but for an error, whoever holds it."""
+        form = formed.select("form").distinct()
+        opened = _rows(form, "form string, gap string, other string", lambda f: [(f, f"{f[:2]}{g}", t) for g, t in _gaps(split(f)[1])])
+        exact = base.join(_keyed(form), F.col("canon") == F.col("form")).select(F.col("canon").alias("a"), "form", F.lit(False).alias("near"), F.lit("n").alias("derived"))
+        shifted = fixes.join(_keyed(form), F.col("key") == F.col("form")).select("canon", "form", F.lit(True), "derived")
         typed = (
-            gaps.join(opened, "gap").where((F.col("token") != F.col("other")) & (F.abs(F.length("token") - F.length("other")) <= 1))
-            .where(F.col("others").isNull() | F.array_contains("others", F.col("other"))).where(near_tokens("token", "other"))
-            .join(single, "form").where("derived = 'n' or not owned").select(F.col("canon").alias("a"), "from", "entity")
+            gaps.join(_keyed(opened), "gap").where((F.col("token") != F.col("other")) & (F.abs(F.length("token") - F.length("other")) <= 1))
+            .where(F.col("others").isNull() | F.array_contains("others", F.col("other"))).where(near_tokens("token", "other")).select("canon", "form", F.lit(True), "derived")
         )
-        near = shifted.unionAll(typed).join(labels.select(F.col("canon").alias("a"), F.col("entity").alias("own")), "a").where("entity <> own")
-        near = near.groupBy("a").agg(F.min("entity").alias("x"), F.max("entity").alias("y"), F.min("from").alias("b")).where("x = y").select("a", "b")
-        # only links between different entities go on, and entities are contracted, not spellings: the first round has most of the work
-        found = exact.where("a <> b").unionAll(near) if pending is None else exact.where("a <> b").unionAll(near).unionAll(pending)
-        x, y = (labels.select(F.col("canon").alias(c), F.col("entity").alias(f"e{c}")) for c in "ab")
-        edges = durable(found.join(x, "a").join(y, "b").where("ea <> eb").select("ea", "eb").distinct())
-        merged = not edges.isEmpty()
+        return durable(exact.unionAll(shifted).unionAll(typed).select("a", "form", "near", (F.col("derived") == "y").alias("weak")))
+
+    # What does not change from round to round is computed once: the forms, which readings meet them, which could complete one another
+    formed = forms_made(base.select("canon", F.col("canon").alias("from"), F.when(F.col("rare").isNull(), "n").otherwise("y").alias("late")))
+    met = meetings(formed)
+
+    def label(c: str) -> list[tuple]:
+        tokens = split(c)[1]
+        bridge = author_bridge(tokens) if c[0] == "a" else None
+        return [(c, c, "y" if is_full(*split(c)) else "n", bridge, bridge and ("g" if len(tokens[0]) > 1 else "s"))]
+
+    labels = durable(_rows(base.select("canon"), "canon string, entity string, whole string, bridge string, side string", label))
+    pending, settled = None, False
+    while True:  # every round merges entities, or is the last but one
+        held = (formed if settled else formed.where("late = 'n'")).join(_keyed(labels.select(F.col("canon").alias("from"), "entity")), "from")
+        # a form that some full name has belongs to that name, or else to a nickname with all surnames; else it may only be met by a typing error
+        of_level = lambda f: F.coalesce(*[f(F.when(F.col("full") == v, F.col("entity"))) for v in "210"])
+        held = held.groupBy("form").agg(of_level(F.min).alias("entity"), of_level(F.max).alias("other"), (F.max("full") > "0").alias("owned")).where("entity = other")
+        links = met.join(_keyed(held), "form").where("not (weak and owned)").join(_keyed(labels.select(F.col("canon").alias("a"), F.col("entity").alias("own"))), "a").where("entity <> own")
+        near = F.when(F.col("near"), F.col("entity"))
+        links = links.groupBy("a", "own").agg(F.min(F.when(~F.col("near"), F.col("entity"))).alias("exact"), F.min(near).alias("x"), F.max(near).alias("y"))
+        links = links.select(F.col("own").alias("ea"), F.explode(F.array("exact", F.when(F.col("x") == F.col("y"), F.col("x")))).alias("eb")).where("eb is not null")
+        # entities are contracted, not spellings: the first round has most of the work
+        edges = durable((links if pending is None else links.unionAll(pending.select("ea", "eb"))).distinct())
+        merged = edges.count()
         if merged:
-            parts = connected_components(edges, "ea", "eb").select(F.col("node").alias("entity"), "component")
-            labels = durable(labels.join(parts, "entity", "left").select("canon", F.coalesce("component", "entity").alias("entity")))
-        # rematch: incomplete profiles that complete one another give new full names
-        bridges = _rows(labels.where("canon like 'a|%'").select("canon"), "canon string, bridge string, side string", lambda c: [(c, x, "g" if len(c[2:].split(" ")[0]) > 1 else "s")] if (x := author_bridge(c[2:].split(" "))) else [])
-        complete = labels.join(_rows(base.select("canon"), "canon string", lambda c: [(c,)] if is_full(*split(c)) else []), "canon", "left_semi").select("entity").distinct()
-        open_ = bridges.join(labels, "canon").join(complete, "entity", "left_anti")
-        sides = open_.groupBy("bridge").agg(F.countDistinct(F.when(F.col("side") == "g", F.col("canon"))).alias("g"), F.countDistinct(F.when(F.col("side") == "s", F.col("canon"))).alias("s"),
-                                            F.min(F.when(F.col("side") == "g", F.col("canon"))).alias("gc"), F.min(F.when(F.col("side") == "s", F.col("canon"))).alias("sc")).where("g = 1 and s = 1")
-        at, to = (labels.select(F.col("canon").alias(c), F.col("entity").alias(f"e{c}")) for c in ("gc", "sc"))
-        pending = durable(sides.join(at, "gc").join(to, "sc").where("egc <> esc").select(F.col("gc").alias("a"), F.col("sc").alias("b")))
-        bridged = not pending.isEmpty()
+            parts = _merged(edges, merged)
+            labels = durable(labels.join(parts, "entity", "left").select("canon", F.coalesce("component", "entity").alias("entity"), "whole", "bridge", "side"))
+        bridged = False
+        if merged or pending is None:  # rematch: incomplete profiles that complete one another give new full names
+            open_ = labels.withColumn("complete", F.max("whole").over(Window.partitionBy("entity"))).where("bridge is not null and complete = 'n'")
+            side = lambda f, v, c: f(F.when(F.col("side") == v, F.col(c)))
+            sides = open_.groupBy("bridge").agg(side(F.count, "g", "canon").alias("g"), side(F.count, "s", "canon").alias("s"), side(F.min, "g", "canon").alias("a"), side(F.min, "s", "canon").alias("b"),
+                                                side(F.min, "g", "entity").alias("ea"), side(F.min, "s", "entity").alias("eb")).where("g = 1 and s = 1")
+            pending = durable(sides.where("ea <> eb").select("a", "b", "ea", "eb"))
+            bridged = not pending.isEmpty()
         if bridged:  # merged in the next round
             full = F.concat(F.substring_index("a", " ", 1), F.lit(" "), F.expr("substring(b, instr(b, ' ') + 1)"))
-            fuller = pending.select(F.col("a").alias("canon"), full.alias("full"))
-            extra = fuller if extra is None else durable(extra.unionAll(fuller).distinct())
+            fuller = forms_made(pending.select(full.alias("canon"), F.col("a").alias("from"), F.lit("n").alias("late")))
+            formed, met = formed.unionAll(fuller), met.unionAll(meetings(fuller))
         if not merged and not bridged:
             if settled:
                 break

@@ -1,4 +1,6 @@
+from lavra.llm import entities as module
 from lavra.llm.entities import link_names, one_edit, spelling_pairs
+from lavra.operators.components import connected_components
 
 SURNAMES = [a + b for a in ("baro", "celu", "dimo", "fuxa", "gare", "hobi") for b in ("nalva", "rigo", "tesco", "vurno", "zezzi")]
 
@@ -40,3 +42,28 @@ def test_institutions_and_pairs(spark):
 
 def test_one_edit():
     assert one_edit("abc", "acb") and one_edit("abc", "ab") and one_edit("abc", "xbc") and not one_edit("abc", "xyc")
+
+
+def test_rounds_take_few_jobs(spark):
+    """Each exchange holds a thread of the driver for a minute: with hundreds of them a small table took more of its memory than a large one."""
+    persons = [f"Antonio {a.title()} {b.title()}" for a, b in zip(SURNAMES, SURNAMES[7:] + SURNAMES[:7])]
+    halves = ["J. Xanalva Yorigo", "Jorge X. Yorigo"]  # complete one another
+    begun = (jobs := spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs)()
+    found = entities(spark, [*persons, *[p.replace("Antonio", "Antnoio") for p in persons[:3]], *halves])
+    assert jobs() - begun < 130
+    assert len({found[n] for n in halves}) == 1 and len(set(found.values())) == len(persons) + 1
+
+
+def test_links_are_united_alike_in_one_task_and_in_steps(spark, monkeypatch):
+    persons = [f"{g} {a.title()} {b.title()}" for g in ("Antonio", "Renata") for a, b in zip(SURNAMES[:8], SURNAMES[7:15])]
+    names = [*persons, *[p.replace("Antonio", "A.").replace("Renata", "R.") for p in persons], *[p.replace("Antonio", "Antnoio") for p in persons], "J. Xanalva Yorigo", "Jorge X. Yorigo"]
+    steps = []
+    monkeypatch.setattr(module, "connected_components", lambda *a: steps.append(a) or connected_components(*a))
+    found = entities(spark, names)
+    assert not steps
+    monkeypatch.setattr(module, "UNITED_LINKS", 0)
+    assert entities(spark, names) == found and steps
+    links = spark.createDataFrame([("b", "a"), ("c", "d"), ("d", "b"), ("y", "x"), ("c", "a"), ("z", "y")], "ea string, eb string")
+    monkeypatch.undo()
+    alike = [{(r[0], r[1]) for r in module._merged(links, n).collect()} for n in (6, module.UNITED_LINKS + 1)]
+    assert alike[0] == alike[1] == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "a"), ("x", "x"), ("y", "x"), ("z", "x")}
