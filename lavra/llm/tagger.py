@@ -17,6 +17,7 @@ WINDOW, OVERLAP = 320, 32
 STRETCH, APART = 8, -1e4  # characters looked at together; the gain of what stands between two texts, less than any
 AROUND = 12  # characters searched beside those that an item could hold
 BLOCK = 16  # steps that are worked on while they are in the cache
+TOGETHER = 384  # windows that are worked on together, so that a step of theirs stays in the cache
 ROOM = 2**27  # bytes of scores that are kept from call to call; what a longer text takes is given back
 _PUNCT = " \n\t.,;:!?@()[]{}<>-_+/\\'\"#%&*=|º°–—“”«»"
 
@@ -150,41 +151,48 @@ class CharTagger:
             return cls({k: z[k] for k in cls.NAMES})
 
     def _blocks(self) -> tuple[np.ndarray, np.ndarray]:
-        """Look-up table (4, classes, H), the classes of the backward direction behind those of the forward one, and recurrent weights
-        (4, 2, H, H), for the gates o, i, f, g. The line of the hard sigmoid is folded into those of the first three."""
-        n, gates = self.hidden, [2, 0, 1, 3]
-        slope, base = np.float32([0.25, 0.25, 0.25, 1])[:, None, None], np.float32([0.5, 0.5, 0.5, 0])[:, None, None]
-        block = lambda w: w.reshape(len(w), 4, n).transpose(1, 0, 2)[gates] * slope
-        into = np.concatenate([block(self.w["x" + d]) + base for d in "fb"], axis=1)
-        return into, np.stack([block(self.w["h" + d]) for d in "fb"], axis=1)
+        """Look-up table (classes, 4H), the classes of the backward direction behind those of the forward one, and recurrent weights
+        (2, H, 4H), for the gates o, i, f, g. The line of the hard sigmoid is folded into those of the first three."""
+        gates = (np.array([2, 0, 1, 3])[:, None] * self.hidden + np.arange(self.hidden)).ravel()
+        slope, base = (np.repeat(np.float32(q), self.hidden) for q in ([0.25, 0.25, 0.25, 1], [0.5, 0.5, 0.5, 0]))
+        into = np.concatenate([self.w["x" + d][:, gates] * slope + base for d in "fb"])
+        # in rows, as what is picked by columns need not be
+        return np.ascontiguousarray(into), np.ascontiguousarray([self.w["h" + d][:, gates] * slope for d in "fb"])
 
     def scores(self, ids: np.ndarray, sizes: np.ndarray | None = None, room: np.ndarray | None = None) -> np.ndarray:
         """Scores (steps, rows, tags) of windows of classes (rows, steps), in ``room`` if there is any. With ``sizes``, ascending, the
         backward cells rest in the padding behind a shorter window, whose own scores mean nothing. Both directions go in step, so that
         a call serves both."""
-        rows, steps = ids.shape
-        n, tags = self.hidden, self.tags
+        (rows, steps), tags = ids.shape, self.tags
+        out = np.empty((steps, rows, tags), np.float32) if room is None else room[: steps * rows * tags].reshape(steps, rows, tags)
+        some = -(-rows // max(1, -(-rows // TOGETHER)))  # in parts of like size
+        for a in range(0, rows, max(1, some)):
+            self._run(ids[a : a + some], None if sizes is None else sizes[a : a + some], out[:, a : a + some])
+        return out
+
+    def _run(self, ids: np.ndarray, sizes: np.ndarray | None, out: np.ndarray) -> None:
+        """The scores of some windows, into ``out``."""
+        (rows, steps), n, tags = ids.shape, self.hidden, self.tags
         padded = np.searchsorted(sizes, np.arange(steps), side="right").tolist() if sizes is not None else [0] * steps
         by_step = np.empty((steps, 2 * rows), np.intp)
         by_step[:, :rows] = ids.T
         np.add(by_step[::-1, :rows], CLASSES, out=by_step[:, rows:])
         into, wh = self._blocks()
-        held, x = np.zeros((5, 2, rows, n), np.float32), np.empty((2 * rows, n), np.float32)
-        z, gates, o, i_f, g_c, g, c = held[:4], held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
-        inputs = list(zip(into, z.reshape(4, 2 * rows, n)))  # gate by gate, so that what is looked up stays in the cache
-        u, one, zero = np.empty((2, rows, n), np.float32), np.float32(1), np.float32(0)
-        h, wo = np.zeros((2, rows, n), np.float32), np.stack([self.w["of"], self.w["ob"]])
-        out = np.empty((steps, rows, tags), np.float32) if room is None else room[: steps * rows * tags].reshape(steps, rows, tags)
-        found, bias = np.empty((2, rows, tags), np.float32), np.tile(self.w["bias"], (rows, 1))
-        ahead, behind = found
+        held, h, z = np.zeros((5, 2, rows, n), np.float32), np.zeros((2, rows, n), np.float32), np.empty((2, rows, 4 * n), np.float32)
+        gates, o, i_f, g_c, g, c = held[:3], held[0], held[1:3], held[3:], held[3], held[4]  # i meets g and f meets c in one product
+        # all gates in one product, which takes far less time than one by one, then its rows are cut and laid gate by gate
+        flat, by_gate, apart = z.reshape(2 * rows, 4 * n), held[:4].reshape(8 * rows, n), np.arange(8 * rows).reshape(-1, 4).T.ravel()
+        x, u = held[:4].reshape(flat.shape), h  # in memory that is free just then, so that all stays in the cache
+        one, zero, wo = np.float32(1), np.float32(0), np.stack([self.w["of"], self.w["ob"]])
+        found, bias = np.empty((2, rows, tags), np.float32), np.tile(self.w["bias"], (2, rows, 1))
         # looked up once, as the calls are short
         matmul, add, multiply, divide, absolute, clip = np.matmul, np.add, np.multiply, np.divide, np.absolute, gates.clip
+        look_up, cut = into.take, z.reshape(8 * rows, n).take
         for t in range(steps):
             matmul(h, wh, z)
-            at = by_step[t]
-            for table, gate in inputs:
-                table.take(at, 0, x, "clip")
-                add(gate, x, gate)
+            look_up(by_step[t], 0, x, "clip")
+            add(flat, x, flat)
+            cut(apart, 0, by_gate, "clip")
             clip(zero, one, gates)
             absolute(g, u)
             add(u, one, u)
@@ -195,17 +203,20 @@ class CharTagger:
             add(u, one, u)
             divide(c, u, u)
             multiply(u, o, h)
-            if rest := padded[steps - 1 - t]:
+            back = steps - 1 - t
+            if rest := padded[back]:
                 h[1, :rest], c[1, :rest] = 0, 0
+            if t < back:  # the first to come
+                matmul(h, wo, out[t : back + 1 : back - t])
+                continue
             matmul(h, wo, found)
-            there, back = out[t], out[steps - 1 - t]
-            if 2 * t < steps - 1:  # the first to come takes the bias along
-                add(ahead, bias, there)
-                add(behind, bias, back)
-            else:
-                add(ahead, there if 2 * t >= steps else bias, there)
-                add(back, behind, back)
-        return out
+            if t == back:
+                add(found[0], found[1], out[t])
+                add(out[t], bias[0], out[t])
+            else:  # the second brings the bias along
+                add(found, bias, found)
+                both = out[back : t + 1 : t - back][::-1]
+                add(both, found, both)
 
     def _read(self, texts: Sequence[str], rows: int, each=None) -> tuple[np.ndarray, tuple[np.ndarray, ...], list[np.ndarray]]:
         """Where the texts end, one behind the other; starts and ends of their windows, and which are first and last; the scores

@@ -76,6 +76,29 @@ def test_one_product_a_step_serves_both_directions(monkeypatch):
         assert np.abs(t.scores(ids, sizes)[:size, r] - t._forward(ids[r : r + 1, :size])[0][:, 0]).max() < 1e-4
 
 
+def test_one_product_a_step_serves_all_gates(monkeypatch):
+    t, product = CharTagger.fresh(5, 7, seed=3), np.matmul
+    t.w["bias"][:] = np.arange(7)
+    for steps in (1, 2, 9, 10):
+        ids, shapes = np.random.default_rng(steps).integers(0, CLASSES, (6, steps)).astype(np.int16), []
+        with monkeypatch.context() as m:
+            m.setattr(tagger.np, "matmul", lambda *a, **k: shapes.append(a[1].shape) or product(*a, **k))
+            found = t.scores(ids)
+        assert sorted(shapes) == [(2, 5, 7)] * steps + [(2, 5, 20)] * steps  # gates, then tags
+        assert np.abs(found - t._forward(ids)[0]).max() < 1e-4
+
+
+def test_windows_in_parts_have_the_scores_of_all_together(monkeypatch):
+    t, sizes = CharTagger.fresh(5, 7, seed=3), np.array([3, 8, 9, 9, 10])
+    ids = np.random.default_rng(8).integers(0, CLASSES, (5, 10)).astype(np.int16)
+    room = np.empty(400, np.float32)
+    for together in (1, 2, 4, 5):
+        monkeypatch.setattr(tagger, "TOGETHER", together)
+        for found in (t.scores(ids, sizes), t.scores(ids, sizes, room)):
+            for r, size in enumerate(sizes):
+                assert np.abs(found[:size, r] - t._forward(ids[r : r + 1, :size])[0][:, 0]).max() < 1e-4
+
+
 def test_stretches_that_cannot_pay_are_found_for_all_texts_at_once():
     t, rng = CharTagger.fresh(3, 5, seed=7), np.random.default_rng(5)
     t.w["trans"][:] = rng.normal(0, 0.1, (5, 5))
