@@ -30,6 +30,7 @@ RESTRICTED = "restricted|embargo|private|closed|access denied"
 MAGIC = (("255044462D", "application/pdf"), ("89504E470D0A1A0A", "image/png"), ("FFD8FF", "image/jpeg"), ("504B0304", "application/zip"), ("25215053", "application/postscript"))
 # Letters with accents of the languages at hand and the letters they stand on.
 _ACCENTED, _BASE = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
+UNACCENTED = str.maketrans(_ACCENTED, _BASE)
 
 
 def nonblank(text: Column) -> Column:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -75,6 +76,48 @@ def test_search(spark):
     assert [r["snippet"] for r in retrieval.pack_context(hits, 30).orderBy("rank").collect()] == ["[a] T\n" + "x" * 10, "[b] \n" + "y" * 7]
 
 
+def shuffled_records(spark):
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_search_by_words_shuffles_no_row_for_each_pair(spark):
+    docs = spark.createDataFrame([(i, f"comum palavra{i % 7} outra{i % 11}") for i in range(500)], "id long, text string")
+    asked = spark.createDataFrame([(i, f"comum pergunta{i} palavra{i % 7}") for i in range(200)], "q long, text string")
+    before = shuffled_records(spark)
+    found = retrieval.bm25(docs, "id", "text", asked, "q", "text", top=3).collect()
+    assert len(found) == 600 and all(r["key"] == r["query"] % 7 + 7 * (r["rank"] - 1) for r in found)  # ties by key
+    assert shuffled_records(spark) - before < 10_000  # of 100,000 pairs
+
+
+def test_search_by_words_counts_repeated_keys_together(spark, monkeypatch):
+    texts = [(1, "Gáto gato, preto"), (1, "gato"), (2, "e\u0301le GATO azul azul"), (3, "preto_branco azul"), (None, "gato"), (None, "gato preto"), (4, "um de"), (5, None), (6, "azul \u0301 cao")]
+    asked = [(1, "gato preto"), (2, "Preto gato!"), (3, "azul"), (3, "cão"), (None, "um azul"), (7, "nada"), (8, None)]
+    cut = {"Gáto gato, preto": ["gato", "gato", "preto"], "gato": ["gato"], "e\u0301le GATO azul azul": ["gato", "azul", "azul"], "preto_branco azul": ["preto_branco", "azul"], "gato preto": ["gato", "preto"], "azul \u0301 cao": ["azul", "cao"]}
+    rows_ = [(k, cut[t]) for k, t in texts if t in cut]  # "éle" is a stop word without its marks
+    tf, df, average = {}, {}, sum(len(t) for _, t in rows_) / len(rows_)
+    for k, t in rows_:
+        for w in t:
+            tf[k, w] = tf.get((k, w), 0) + 1
+    for _, w in tf:
+        df[w] = df.get(w, 0) + 1
+    want = {}
+    for q, ts in ((1, ["gato", "preto"]), (2, ["gato", "preto"]), (3, ["azul", "cao"]), (None, ["azul"])):
+        for k, t in rows_:
+            for w in ts:
+                if k is not None and (n := tf.get((k, w))):
+                    idf = math.log(1 + (len(rows_) - df[w] + 0.5) / (df[w] + 0.5))
+                    want[q, k] = want.get((q, k), 0) + idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(t) / average))
+    docs, questions = spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame(asked, "q int, text string")
+    for block, cells in ((100, 1 << 22), (2, 1)):
+        monkeypatch.setattr(retrieval, "CELLS", cells)
+        got = retrieval.bm25(docs, "id", "text", questions, "q", "text", block=block).collect()
+        assert {(r["query"], r["key"]): r["score"] for r in got} == {k: round(v, 6) for k, v in want.items()}
+        assert all(r["rank"] == 1 + sum(1 for o in got if o["query"] == r["query"] and (-o["score"], o["key"]) < (-r["score"], r["key"])) for r in got)
+
+
 def test_vectors_of_a_model_are_checked(spark):
     df = spark.createDataFrame([("a",), ("b",)], "t string")
     assert retrieval.embed(df, "t", lambda x: [[1.0, 2.0]] * len(x)).count() == 2
