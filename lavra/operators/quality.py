@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.functions.text import clean_whitespace, shingles, words
+from lavra.functions.text import clean_whitespace, let, shingles, words
 
 MIN_CHARS, MIN_CONFIDENCE, MAX_REPETITION, MAX_JUNK = 500, 0.5, 0.7, 0.15
 NO_JUNK = r"[^\p{So}\p{Cf}\x{FFFD}\x{FDD0}-\x{FDEF}\x{F0000}-\x{FFFFD}]"
@@ -33,22 +33,24 @@ def dominant_language(word_list: Column, target: str | None = None, least_share:
 
     With ``target`` that language is given, with its own share, wherever it has at least ``least_share`` of the hits.
     """
-    scores = language_scores(word_list)
-    total = F.aggregate(scores, F.lit(0), lambda a, s: a + s["hits"])
-    best = F.when(total > 0, F.struct(scores[0]["code"].alias("lang"), (scores[0]["hits"] / total).alias("confidence")))
-    if target is None:
-        return best
-    own = F.filter(scores, lambda s: s["code"] == target)[0]["hits"] / total
-    return F.when((total > 0) & (own >= least_share), F.struct(F.lit(target).alias("lang"), own.alias("confidence"))).otherwise(best)
+
+    def found(scores: Column) -> Column:
+        total = F.aggregate(scores, F.lit(0), lambda a, s: a + s["hits"])
+        best = F.when(total > 0, F.struct(scores[0]["code"].alias("lang"), (scores[0]["hits"] / total).alias("confidence")))
+        if target is None:
+            return best
+        own = F.filter(scores, lambda s: s["code"] == target)[0]["hits"] / total
+        return F.when((total > 0) & (own >= least_share), F.struct(F.lit(target).alias("lang"), own.alias("confidence"))).otherwise(best)
+
+    return let(language_scores(word_list), found)
 
 
 def repetition_ratio(word_list: Column, width: int = 5) -> Column:
-    runs = shingles(word_list, width)
-    return F.when(F.size(word_list) <= width, 0.0).otherwise(1 - F.size(F.array_distinct(runs)) / F.size(runs))
+    return F.when(F.size(word_list) <= width, 0.0).otherwise(let(shingles(word_list, width), lambda runs: 1 - F.size(F.array_distinct(runs)) / F.size(runs)))
 
 
 def junk_ratio(text: Column) -> Column:
-    return F.when(F.length(text) == 0, 1.0).otherwise(F.length(F.regexp_replace(text, NO_JUNK, "")) / F.length(text))
+    return F.when(F.length(text) == 0, 1.0).otherwise(F.length(F.regexp_replace(text, NO_JUNK + "+", "")) / F.length(text))
 
 
 def quality_verdicts(texts: DataFrame, key: str, text: str, target: str = "pt") -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.functions.text import let
+
 # Patterns in the order in which they are replaced, with their placeholders.
 PATTERNS = (
     ("URL", r"(?i)\b(?:https?://|ftp://|www\.)\S+"),
@@ -40,11 +42,15 @@ def redact_patterns(text: Column) -> Column:
 
 def redaction_counts(text: Column) -> Column:
     """Map of kind to the number of replacements, each counted in the text as the earlier ones left it; kinds without any are left out."""
-    entries = []
-    for name, pattern in PATTERNS:
-        entries.append(F.struct(F.lit(name).alias("key"), F.regexp_count(text, F.lit(pattern)).alias("value")))
-        text = F.regexp_replace(text, pattern, f"<<{name}>>")
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"] > 0))
+
+    def counted(t: Column, rest: tuple, entries: list[Column]) -> Column:
+        (name, pattern), *rest = rest
+        entries = [*entries, F.struct(F.lit(name).alias("key"), F.regexp_count(t, F.lit(pattern)).alias("value"))]
+        if not rest:
+            return F.filter(F.array(*entries), lambda e: e["value"] > 0)
+        return let(F.regexp_replace(t, pattern, f"<<{name}>>"), lambda x: counted(x, rest, entries))
+
+    return F.map_from_entries(let(text, lambda t: counted(t, PATTERNS, [])))
 
 
 def residual_counts(text: Column) -> Column:
