@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lavra.operators import chunking, datasets, dedup, evaluation, redaction, retrieval, staging, sync, validation
 from lavra.operators.components import connected_components
+from lavra.plans import curated_queries
 
 
 def rows(df):
@@ -92,6 +93,23 @@ def test_search_by_words_shuffles_no_row_for_each_pair(spark):
     assert shuffled_records(spark) - before < 10_000  # of 100,000 pairs
 
 
+@pytest.fixture(scope="module")
+def asked_much(spark, tmp_path_factory):
+    """1,500 texts that share a word, 200 of them asked by their titles: 300,000 pairs."""
+    at = str(tmp_path_factory.mktemp("asked"))
+    ids = [50 * i for i in range(200)] + [50 * i + 1 for i in range(1300)]
+    spark.createDataFrame([(i, f"comum titulo{i}", f"comum palavra{i % 7} " + "x" * 3000) for i in ids], "doc_id long, title string, text string").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "vec_id long, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
+    return at
+
+
+def test_contexts_shuffle_no_row_for_each_pair(spark, asked_much):
+    before = shuffled_records(spark)
+    found = curated_queries.context_pack(spark, asked_much).collect()
+    assert len(found) == 200 * 6 and {r["rank"] for r in found} == {1, 2, 3, 4, 5, 6}
+    assert shuffled_records(spark) - before < 60_000  # of 300,000 pairs
+
+
 def test_search_by_words_counts_repeated_keys_together(spark, monkeypatch):
     texts = [(1, "Gáto gato, preto"), (1, "gato"), (2, "e\u0301le GATO azul azul"), (3, "preto_branco azul"), (None, "gato"), (None, "gato preto"), (4, "um de"), (5, None), (6, "azul \u0301 cao")]
     asked = [(1, "gato preto"), (2, "Preto gato!"), (3, "azul"), (3, "cão"), (None, "um azul"), (7, "nada"), (8, None)]
