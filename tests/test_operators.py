@@ -110,6 +110,13 @@ def test_contexts_shuffle_no_row_for_each_pair(spark, asked_much):
     assert shuffled_records(spark) - before < 60_000  # of 300,000 pairs
 
 
+def test_fused_search_shuffles_no_row_for_each_pair(spark, asked_much):
+    before = shuffled_records(spark)
+    found = curated_queries.rrf_topk(spark, asked_much).collect()
+    assert len(found) == 200 * 5
+    assert shuffled_records(spark) - before < 60_000  # of 300,000 pairs
+
+
 def test_search_by_words_counts_repeated_keys_together(spark, monkeypatch):
     texts = [(1, "Gáto gato, preto"), (1, "gato"), (2, "e\u0301le GATO azul azul"), (3, "preto_branco azul"), (None, "gato"), (None, "gato preto"), (4, "um de"), (5, None), (6, "azul \u0301 cao")]
     asked = [(1, "gato preto"), (2, "Preto gato!"), (3, "azul"), (3, "cão"), (None, "um azul"), (7, "nada"), (8, None)]
